@@ -13,9 +13,25 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "array<float>": T.ArrayType(T.FloatType()),
+}
+
+
 def struct(spec: str) -> T.StructType:
-    """Parse a ``name type, name type`` DDL string into a StructType."""
-    return T._parse_datatype_string(spec)  # noqa: SLF001 - public DDL parser
+    """Build a StructType from ``name type, name type`` (simple types only)."""
+    fields = []
+    for part in spec.split(","):
+        name, typ = part.split()
+        fields.append(T.StructField(name, _TYPES[typ], True))
+    return T.StructType(fields)
 
 
 # --- driver tables ---------------------------------------------------------
