@@ -31,6 +31,7 @@ from starweave.operators.quality import (
     TableChecks,
     assert_passed,
     column_type_ok,
+    duplicate_keys,
     fk_report,
     report,
     table_report,
@@ -46,6 +47,7 @@ __all__ = [
     "column_type_ok",
     "dedupe",
     "dense_ids",
+    "duplicate_keys",
     "distinct_rows",
     "drop_columns",
     "first_per_key",

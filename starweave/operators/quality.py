@@ -101,12 +101,27 @@ def fk_report(table: str, fact: DataFrame, fk: str, dim: DataFrame, pk: str) ->
 def report(specs: Sequence[TableChecks], fks: Sequence[tuple] = ()) -> DataFrame:
     """Q6: run check sets over many tables; one report frame."""
     parts = [table_report(s) for s in specs] + [fk_report(*f) for f in fks]
+    if not parts:
+        raise ValueError("no checks given")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Every key seen more than once, with its count.
+
+    A grouped count combines map-side, so a key holding a large share of
+    rows costs one partial count per task, not one task with all its rows.
+    """
+    return (
+        df.groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("count_total"))
+        .where(F.col("count_total") > F.lit(1))
+    )
+
+
 def assert_passed(report_df: DataFrame) -> None:
     """Raise ``DataQualityError`` listing the failed checks (``raise`` mode)."""
     failed = report_df.where(~F.col("passed")).collect()

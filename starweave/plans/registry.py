@@ -37,5 +37,8 @@ def load_all() -> None:
     from starweave.plans import (  # noqa: F401
         function_queries,
         io_queries,
+        lookup_queries,
         music_queries,
+        quality_queries,
+        travel_queries,
     )
