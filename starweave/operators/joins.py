@@ -73,15 +73,27 @@ def natural_key_join(
     return joined.select(*[lk[c] for c in log.columns], *[rk[c] for c in dim.columns])
 
 
-def anti_join(df: DataFrame, target: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
+def anti_join(
+    df: DataFrame,
+    target: DataFrame,
+    on: Sequence[tuple[str, str]],
+    null_safe: bool = False,
+) -> DataFrame:
     """J6 (``ON CONFLICT DO NOTHING`` shape): rows whose key has no match.
 
     The target side is reduced to its distinct keys first; that aggregate is
-    partitioned on the key, so the join reuses its exchange.
+    partitioned on the key, so the join reuses its exchange. With
+    ``null_safe`` a null key part matches a null (``<=>``), which makes a
+    rerun of a load with nullable key columns idempotent; it is still an
+    equi-join (hash or sort-merge), not a nested loop.
     """
     lk, rk, keys = _key_frames(df, target, on)
-    right = rk.select(*keys).distinct()
-    return lk.join(right, on=keys, how="left_anti").select(*df.columns)
+    right = rk.select(*[F.col(k).alias(f"{k}_t") for k in keys]).distinct()
+    cond = None
+    for k in keys:
+        c = lk[k].eqNullSafe(right[f"{k}_t"]) if null_safe else lk[k] == right[f"{k}_t"]
+        cond = c if cond is None else cond & c
+    return lk.join(right, cond, how="left_anti").select(*df.columns)
 
 
 def not_in(df: DataFrame, key: str, target: DataFrame, target_key: str) -> DataFrame:

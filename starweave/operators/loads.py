@@ -80,10 +80,14 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> str:
 
 
 def append_new(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet") -> str:
-    """K5 made idempotent: append only rows whose key is not stored yet."""
+    """K5 made idempotent: append only rows whose key is not stored yet.
+
+    Keys compare null-safely, so rows with a null key part are not appended
+    again by a rerun.
+    """
     spark = df.sparkSession
     current = read_if_exists(spark, path, fmt, schema=df.schema)
-    fresh = df if current is None else anti_join(df, current, [(k, k) for k in keys])
+    fresh = df if current is None else anti_join(df, current, [(k, k) for k in keys], null_safe=True)
     return write_table(fresh, path, mode="append", fmt=fmt)
 
 

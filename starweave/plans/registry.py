@@ -35,6 +35,7 @@ def register(name: str, sql: str | None = None, ids: str = ""):
 def load_all() -> None:
     """Import every module that registers queries."""
     from starweave.plans import (  # noqa: F401
+        flow_queries,
         function_queries,
         io_queries,
         lookup_queries,
