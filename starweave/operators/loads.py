@@ -166,7 +166,7 @@ def insert_absent(
     The batch is first reduced to its first row per key (arrival order given
     by ``order_by``); keys present in the target are left untouched.
     """
-    first = first_per_key(batch.select(*target.columns), keys, order_by, keep="first")
+    first = first_per_key(batch, keys, order_by, keep="first").select(*target.columns)
     fresh = anti_join(first, target, [(k, k) for k in keys])
     return target.unionByName(fresh)
 
