@@ -37,23 +37,24 @@ def write_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     sort_within: Sequence[str] = (),
-    spread: int | None = None,
+    rebalance: bool = False,
     options: Mapping[str, str] | None = None,
 ) -> str:
     """Write a frame.
 
     * ``partition_by``: directory partitions; keep them low-cardinality.
-    * ``spread``: shuffle rows over ``spread`` tasks per partition value with
-      a deterministic row hash, bounding files per directory without sending
-      a hot value (say one year holding a third of the rows) to one task.
-      Without it rows are written from the partitions they are in.
+    * ``rebalance``: shuffle with Spark's ``REBALANCE`` hint on the
+      partition columns first. AQE then cuts a value that holds a large share
+      of the rows (say one year holding a third) into advisory-size tasks and
+      merges small ones, so file sizes stay bounded without sending a hot
+      value to one task. Without it rows are written from the partitions they
+      are in.
     * ``sort_within``: sort inside each task so parquet min/max statistics
       skip row groups on later filters (the sort key of L5).
     """
     out = df
-    if spread:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
-        out = out.repartition(*[F.col(c) for c in partition_by], salt)
+    if rebalance:
+        out = out.hint("rebalance", *partition_by)
     if sort_within or partition_by:
         out = out.sortWithinPartitions(*partition_by, *sort_within)
     writer = out.write.mode(mode).format(fmt).options(**(options or {}))

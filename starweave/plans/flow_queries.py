@@ -44,7 +44,7 @@ def pipeline_fact(spark, sf_dir):
 def stream_append_new(spark, sf_dir):
     t = Tables(spark, sf_dir)
     landing = scratch_path(spark, "landing")
-    write_table(t.orders, landing, spread=8)
+    write_table(t.orders.repartition(8, "o_orderkey"), landing)
     # a late re-delivery of one period lands again as new files
     late = t.orders.where(F.year("o_orderdate") == F.lit(1998))
     write_table(late, landing, mode="append")

@@ -39,7 +39,8 @@ def csv_quote_all(spark, sf_dir):
     t = Tables(spark, sf_dir)
     raw = scratch_path(spark, "event_csv")
     # many raw files, each with its own header line
-    write_table(t.events, raw, fmt="csv", spread=8, options={"header": "true", **TEXT_OPTIONS})
+    write_table(t.events.repartition(8, "event_id"), raw, fmt="csv",
+                options={"header": "true", **TEXT_OPTIONS})
     merged = scratch_path(spark, "event_merged")
     merge_event_files(spark, raw, merged, ["event_id", "ts", "user_id", "event_type", "value"],
                       required="event_type", schema=table_schema("events"))
@@ -175,7 +176,7 @@ def parquet_partitioned(spark, sf_dir):
     t = Tables(spark, sf_dir)
     path = scratch_path(spark, "orders_by_month")
     dated = t.orders.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
-    write_table(dated, path, partition_by=["year", "month"], spread=4)
+    write_table(dated, path, partition_by=["year", "month"], rebalance=True)
     return read_parquet(spark, path)
 
 

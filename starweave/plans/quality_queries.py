@@ -86,7 +86,7 @@ def dq_fk(spark, sf_dir):
 @register(
     "dq_duplicate_keys",
     """
-SELECT l_orderkey, l_linenumber, SUM(1) AS count_total FROM lineitem
+SELECT l_orderkey, l_linenumber, CAST(SUM(1) AS BIGINT) AS count_total FROM lineitem
 GROUP BY 1, 2 HAVING SUM(1) > 1
 """,
     "Q3 A3 F12 (keys seen more than once, with their counts)",
