@@ -11,7 +11,7 @@ from starweave.operators.clean import (
     union_all,
     with_columns,
 )
-from starweave.operators.joins import anti_join, natural_key_join, not_in, orphans
+from starweave.operators.joins import anti_join, broadcast_if_small, natural_key_join, not_in, orphans
 from starweave.operators.loads import (
     append,
     append_new,
@@ -44,6 +44,7 @@ __all__ = [
     "append",
     "append_new",
     "assert_passed",
+    "broadcast_if_small",
     "column_type_ok",
     "dedupe",
     "dense_ids",

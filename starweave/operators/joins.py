@@ -18,6 +18,38 @@ from starweave.operators.clean import first_per_key
 
 JOIN_KINDS = ("inner", "left", "first_match")
 
+# Bounds for an explicitly checked broadcast: rows, and bytes estimated from
+# the schema's per-type default sizes.
+BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def _width(dtype) -> int:
+    """Per-value byte estimate (Spark's default sizes; 20 for strings)."""
+    name = dtype.typeName()
+    return {"integer": 4, "date": 4, "float": 4, "short": 2, "byte": 1, "boolean": 1,
+            "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}.get(name, 20)
+
+
+def broadcast_if_small(
+    df: DataFrame,
+    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
+) -> DataFrame:
+    """Hint a broadcast only for a side whose size is checked to be bounded.
+
+    The check is a count over ``limit(n + 1)`` - it stops reading once the
+    bound is exceeded - so it costs at most ``n + 1`` rows of the side, and a
+    side over the bound is returned unchanged for a shuffled join (where AQE
+    may still broadcast it from its measured size). The row bound is the
+    smaller of ``max_rows`` and ``max_bytes`` over the schema's row width.
+    """
+    width = max(1, sum(_width(f.dataType) for f in df.schema.fields))
+    bound = max(1, min(max_rows, max_bytes // width))
+    if df.limit(bound + 1).count() <= bound:
+        return F.broadcast(df)
+    return df
+
 
 def _key_frames(
     log: DataFrame,
