@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from starweave.operators.clean import _c, _names, first_per_key
-from starweave.operators.joins import anti_join, not_in
+from starweave.operators.joins import anti_join, broadcast_if_small, not_in
 from starweave.session import checkpoint_root
 
 ColumnLike = Column | str
@@ -80,16 +80,35 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     return write_table(df, path, mode="append", fmt=fmt)
 
 
-def append_new(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet") -> str:
+def append_new(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+) -> str:
     """K5 made idempotent: append only rows whose key is not stored yet.
 
     Keys compare null-safely, so rows with a null key part are not appended
-    again by a rerun.
+    again by a rerun. With ``partition_by`` (directory partitions that are
+    part of the key, e.g. the period of a fact) the stored table is written
+    partitioned and a batch is compared only with the stored partitions it
+    touches: a left-semi join on the batch's distinct partition values lets
+    Spark prune the stored scan (dynamic partition pruning), so an hourly
+    load does not re-read the whole history.
     """
     spark = df.sparkSession
-    current = read_if_exists(spark, path, fmt, schema=df.schema)
-    fresh = df if current is None else anti_join(df, current, [(k, k) for k in keys], null_safe=True)
-    return write_table(fresh, path, mode="append", fmt=fmt)
+    stored_schema = df.select(*[c for c in df.columns if c not in partition_by], *partition_by).schema
+    current = read_if_exists(spark, path, fmt, schema=stored_schema)
+    if current is None:
+        fresh = df
+    else:
+        if partition_by:
+            periods = broadcast_if_small(df.select(*partition_by).distinct())
+            current = current.join(periods, list(partition_by), "left_semi")
+        fresh = anti_join(df, current, [(k, k) for k in keys], null_safe=True)
+    return write_table(fresh, path, mode="append", fmt=fmt, partition_by=partition_by,
+                       rebalance=bool(partition_by))
 
 
 def truncate_insert(df: DataFrame, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet") -> str:
