@@ -154,15 +154,14 @@ def upsert(
     cols = target.columns
     fixed = [c for c in cols if c not in keys and c not in update_cols]
     tie = [F.col(c) for c in cols if c not in keys]
-    t = target.select(*cols, F.lit(0).alias("_src"), F.struct(*tie).alias("_ord"))
     u = updates.select(
         *cols,
         F.lit(1).alias("_src"),
         F.struct(*_batch_order(order_by), *tie).alias("_ord"),
     )
-    # The target side carries an order of the same shape: its field values
-    # are irrelevant because _src = 0 sorts before every update.
-    t = t.withColumn("_ord", F.lit(None).cast(u.schema["_ord"].dataType))
+    # The target side carries a null order of the same type: its value is
+    # irrelevant because _src = 0 sorts before every update.
+    t = target.select(*cols, F.lit(0).alias("_src"), F.lit(None).cast(u.schema["_ord"].dataType).alias("_ord"))
     rank = F.struct(F.col("_src"), F.col("_ord"))
     aggs = []
     if fixed:

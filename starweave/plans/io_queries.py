@@ -80,11 +80,12 @@ SELECT doc_id, substr(text, 1, 256) AS text, md5(text) AS text_md5, lang, source
 def json_auto_truncate(spark, sf_dir):
     t = Tables(spark, sf_dir)
     path = scratch_path(spark, "documents_json")
-    # nested layout lang=../source=.. of JSON files, like song_data/A/B/C
-    write_table(t.documents, path, fmt="json", partition_by=["lang"], options=TEXT_OPTIONS)
+    # nested layout lang=../source=../*.json, read through a directory glob
+    # like song_data/*/*/*.json; basePath keeps the directory values
+    write_table(t.documents, path, fmt="json", partition_by=["lang", "source"], options=TEXT_OPTIONS)
     # by-name load ('auto'): only declared fields are read, in any file order
-    schema = struct("text string, n_chars bigint, doc_id bigint, source string")
-    back = read_json(spark, path, schema, recursive=False, glob_filter="*.json")
+    schema = struct("text string, n_chars bigint, doc_id bigint")
+    back = read_json(spark, f"{path}/*/*/*.json", schema, options={"basePath": path})
     # the whole text came back intact (its digest), then the varchar(256) load
     back = back.select("doc_id", "text", F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
     return enforce_widths(back, {"text": 256, "lang": 256, "source": 256}, mode="truncate")

@@ -108,3 +108,40 @@ def test_widths(spark):
     assert df.select(truncate_width("s", 4).alias("s")).first().s == "abcd"
     with pytest.raises(Exception):
         enforce_widths(df, {"s": 3}, mode="fail").collect()
+
+
+def test_create_drop_tables_idempotent(spark):
+    import uuid
+
+    from starweave.session import scratch_path
+    from starweave.sources.schemas import STAR, create_all, drop_all
+
+    names = {f"{n}_{uuid.uuid4().hex[:8]}": s for n, s in STAR.items()}
+    loc = scratch_path(spark, "catalog_test")
+    assert create_all(spark, names, location=loc) == list(names)
+    create_all(spark, names, location=loc)  # second run is a no-op
+    for name, schema in names.items():
+        assert [f.name for f in spark.table(name).schema.fields] == [f.name for f in schema.fields]
+    drop_all(spark, list(names))
+    drop_all(spark, list(names))
+    assert not any(spark.catalog.tableExists(n) for n in names)
+
+
+def test_readers(spark):
+    from starweave.session import scratch_path
+    from starweave.sources.readers import read_json, read_json_mapped, templated_path, with_lineage
+    from starweave.sources.schemas import LOG_MAPPING
+    from pyspark.sql import types as T
+
+    path = scratch_path(spark, "log_json")
+    spark.createDataFrame(
+        [("A", "NextSong", 1541106106796, "12", "x"), ("B", "Home", 1541106106797, "bad", "y")],
+        "artist string, page string, ts bigint, userId string, song string",
+    ).coalesce(1).write.json(templated_path("{p}/2018/11", p=path))
+    back = read_json_mapped(spark, path + "/2018/11", LOG_MAPPING)
+    assert back.columns == [c for _, c, _ in LOG_MAPPING]
+    assert sorted((r.artist, r.userid) for r in back.collect()) == [("A", 12), ("B", None)]
+    nested = read_json(spark, path, T.StructType([T.StructField("artist", T.StringType())]), recursive=True,
+                       glob_filter="*.json")
+    files = {r.source_file.rsplit("/", 3)[-3] for r in with_lineage(nested).collect()}
+    assert files == {"2018"}
