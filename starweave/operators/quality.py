@@ -33,6 +33,7 @@ class TableChecks:
     * ``key`` (Q2, Q3): columns that must be non-null and unique together.
     * ``expected_rows`` (Q5): exact row count.
     * ``types`` (Q4): column -> expected ``df.dtypes`` string.
+    * ``not_null`` / ``unique``: switch the key checks off individually.
     """
 
     table: str
@@ -41,6 +42,8 @@ class TableChecks:
     min_rows: int | None = 1
     expected_rows: int | None = None
     types: Mapping[str, str] = field(default_factory=dict)
+    not_null: bool = True
+    unique: bool = True
 
 
 def _row(table: str, column: str, check: str, value, passed):
@@ -57,9 +60,10 @@ def table_report(spec: TableChecks) -> DataFrame:
     """Q1-Q5 for one table in a single aggregate job."""
     df, key = spec.df, list(spec.key)
     aggs = [F.count(F.lit(1)).alias("n")]
-    for k in key:
-        aggs.append(F.count_if(F.col(k).isNull()).alias(f"null_{k}"))
-    if key:
+    if spec.not_null:
+        for k in key:
+            aggs.append(F.count_if(F.col(k).isNull()).alias(f"null_{k}"))
+    if key and spec.unique:
         full = None
         for k in key:
             full = F.col(k).isNotNull() if full is None else full & F.col(k).isNotNull()
@@ -73,10 +77,11 @@ def table_report(spec: TableChecks) -> DataFrame:
         rows.append(_row(spec.table, "*", "min_rows", n, n >= F.lit(spec.min_rows)))
     if spec.expected_rows is not None:
         rows.append(_row(spec.table, "*", "expected_rows", n, n == F.lit(spec.expected_rows)))
-    for k in key:
-        nulls = F.col(f"null_{k}")
-        rows.append(_row(spec.table, k, "not_null", nulls, nulls == F.lit(0)))
-    if key:
+    if spec.not_null:
+        for k in key:
+            nulls = F.col(f"null_{k}")
+            rows.append(_row(spec.table, k, "not_null", nulls, nulls == F.lit(0)))
+    if key and spec.unique:
         dups = F.col("n_keyed") - F.col("n_distinct")
         rows.append(_row(spec.table, ",".join(key), "unique", dups, dups == F.lit(0)))
     actual = dict(df.dtypes)

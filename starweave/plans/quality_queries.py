@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starweave.operators.quality import TableChecks, duplicate_keys, report
+from starweave.operators.quality import TableChecks, duplicate_keys, report, table_report
 from starweave.plans import roles
 from starweave.plans.music_queries import fact_left_md5
 from starweave.plans.registry import ORACLES, register
@@ -10,30 +10,37 @@ from starweave.plans.roles import Tables
 
 
 def _check_sql(table: str, key: list[str], source: str, expected: int | None = None,
-               types: list[tuple[str, bool]] = ()) -> str:
+               types: list[tuple[str, bool]] = (), min_rows: bool = True, not_null: bool = True,
+               unique: bool = True) -> str:
     keyed = " AND ".join(f"{k} IS NOT NULL" for k in key)
-    parts = [
-        f"SELECT '{table}' AS table_name, '*' AS column_name, 'min_rows' AS check_name, "
-        f"COUNT(*) AS value, COUNT(*) >= 1 AS passed FROM {source}"
-    ]
+    parts = []
+    if min_rows:
+        parts.append(
+            f"SELECT '{table}' AS table_name, '*' AS column_name, 'min_rows' AS check_name, "
+            f"COUNT(*) AS value, COUNT(*) >= 1 AS passed FROM {source}"
+        )
     if expected is not None:
         parts.append(
-            f"SELECT '{table}', '*', 'expected_rows', COUNT(*), COUNT(*) = {expected} FROM {source}"
+            f"SELECT '{table}' AS table_name, '*' AS column_name, 'expected_rows' AS check_name, "
+            f"COUNT(*) AS value, COUNT(*) = {expected} AS passed FROM {source}"
         )
-    for k in key:
+    for k in key if not_null else []:
         parts.append(
-            f"SELECT '{table}', '{k}', 'not_null', COUNT(*) FILTER (WHERE {k} IS NULL), "
-            f"COUNT(*) FILTER (WHERE {k} IS NULL) = 0 FROM {source}"
+            f"SELECT '{table}' AS table_name, '{k}' AS column_name, 'not_null' AS check_name, "
+            f"COUNT(*) FILTER (WHERE {k} IS NULL) AS value, "
+            f"COUNT(*) FILTER (WHERE {k} IS NULL) = 0 AS passed FROM {source}"
         )
-    if key:
+    if key and unique:
         cols = ", ".join(key)
         excess = f"(COUNT(*) FILTER (WHERE {keyed}) - COUNT(DISTINCT ({cols})) FILTER (WHERE {keyed}))"
         parts.append(
-            f"SELECT '{table}', '{','.join(key)}', 'unique', {excess}, {excess} = 0 FROM {source}"
+            f"SELECT '{table}' AS table_name, '{','.join(key)}' AS column_name, 'unique' AS check_name, "
+            f"{excess} AS value, {excess} = 0 AS passed FROM {source}"
         )
     for name, ok in types:
-        parts.append(f"SELECT '{table}', '{name.split('=')[0]}', 'type={name.split('=')[1]}', "
-                     f"{0 if ok else 1}, {str(ok).upper()}")
+        parts.append(f"SELECT '{table}' AS table_name, '{name.split('=')[0]}' AS column_name, "
+                     f"'type={name.split('=')[1]}' AS check_name, CAST({0 if ok else 1} AS BIGINT) AS value, "
+                     f"{str(ok).upper()} AS passed")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -112,3 +119,58 @@ UNION ALL SELECT 'songplays', 'songplay_id', 'unique',
 def dq_fact_checks(spark, sf_dir):
     fact = fact_left_md5(spark, sf_dir)
     return report([TableChecks("songplays", fact.select("songplay_id"), key=["songplay_id"])])
+
+
+# The check families one at a time over the star's source tables
+# (SURVEY 7.3: dq_counts, dq_nulls, dq_duplicates, dq_types, dq_expected).
+
+SINGLE_TABLES = [("orders", ["o_orderkey"]), ("lineitem", ["l_orderkey", "l_linenumber"]),
+                 ("customer", ["c_custkey"]), ("events", ["event_id"])]
+
+
+def _only(spark, sf_dir, **flags):
+    t = Tables(spark, sf_dir)
+    return report([TableChecks(name, getattr(t, name), key=key, **flags) for name, key in SINGLE_TABLES])
+
+
+def _only_sql(**flags) -> str:
+    return "\nUNION ALL\n".join(_check_sql(name, key, name, **flags) for name, key in SINGLE_TABLES)
+
+
+@register("dq_counts", _only_sql(not_null=False, unique=False), "Q1 A1 (not empty)")
+def dq_counts(spark, sf_dir):
+    return _only(spark, sf_dir, not_null=False, unique=False)
+
+
+@register("dq_nulls", _only_sql(min_rows=False, unique=False), "Q2 A2 F10 (key has no null)")
+def dq_nulls(spark, sf_dir):
+    return _only(spark, sf_dir, min_rows=None, unique=False)
+
+
+@register("dq_duplicates", _only_sql(min_rows=False, not_null=False), "Q3 (key is unique)")
+def dq_duplicates(spark, sf_dir):
+    return _only(spark, sf_dir, min_rows=None, not_null=False)
+
+
+@register(
+    "dq_types",
+    _check_sql("orders", [], "orders", min_rows=False,
+               types=[("o_orderdate=timestamp_ntz", True), ("o_totalprice=double", True), ("o_orderkey=int", False)]),
+    "Q4 (columns have the expected types)",
+)
+def dq_types(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return table_report(TableChecks("orders", t.orders, min_rows=None, types={
+        "o_orderdate": "timestamp_ntz", "o_totalprice": "double", "o_orderkey": "int"}))
+
+
+@register(
+    "dq_expected",
+    _check_sql("nation", [], "nation", expected=25, min_rows=False)
+    + "\nUNION ALL\n" + _check_sql("region", [], "region", expected=5, min_rows=False),
+    "Q5 (row count equals the expected count)",
+)
+def dq_expected(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return report([TableChecks("nation", t.nation, min_rows=None, expected_rows=25),
+                   TableChecks("region", t.region, min_rows=None, expected_rows=5)])
