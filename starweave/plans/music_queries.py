@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starweave.functions.time import to_epoch_millis
+from starweave.functions.time import millis_to_date, millis_to_timestamp, to_epoch_millis
+from starweave.operators.clean import first_per_key
 from starweave.operators.loads import dense_ids, insert_absent, insert_not_in, keyed_overwrite, upsert
 from starweave.plans import roles
 from starweave.plans.music import build_artists, build_songplays, build_songs, build_time, build_users
@@ -172,8 +173,6 @@ FROM s
 def time_dim_mon0(spark, sf_dir):
     t = Tables(spark, sf_dir)
     log = t.events.select(to_epoch_millis("ts").alias("ts"))
-    from starweave.functions.time import millis_to_timestamp
-
     return build_time(log.select(millis_to_timestamp("ts").alias("start_time")), weekday_base="mon0")
 
 
@@ -206,8 +205,6 @@ FROM s
     "C3 E3 E10 (day precision, Sunday = 1)",
 )
 def time_dim_day_sun1(spark, sf_dir):
-    from starweave.functions.time import millis_to_date
-
     t = Tables(spark, sf_dir)
     views = t.events.where(F.col("event_type") == "view")
     days = views.select(millis_to_date(to_epoch_millis("ts")).alias("start_time"))
@@ -447,8 +444,6 @@ def songs_insert_absent(spark, sf_dir):
         F.col("p_retailprice").alias("duration"),
     )
     # first song per title arrives first; then ON CONFLICT (song_id) DO NOTHING
-    from starweave.operators.clean import first_per_key
-
     firsts = first_per_key(batch, ["title"], ["song_id"], keep="first")
     return insert_absent(target, firsts, ["song_id"], ["song_id"])
 
