@@ -11,7 +11,15 @@ from starweave.operators.clean import (
     union_all,
     with_columns,
 )
-from starweave.operators.joins import anti_join, broadcast_if_small, natural_key_join, not_in, orphans
+from starweave.operators.joins import (
+    anti_join,
+    broadcast_if_small,
+    broadcast_row_bound,
+    exceeds_rows,
+    natural_key_join,
+    not_in,
+    orphans,
+)
 from starweave.operators.loads import (
     append,
     append_new,
@@ -45,10 +53,12 @@ __all__ = [
     "append_new",
     "assert_passed",
     "broadcast_if_small",
+    "broadcast_row_bound",
     "column_type_ok",
     "dedupe",
     "dense_ids",
     "duplicate_keys",
+    "exceeds_rows",
     "distinct_rows",
     "drop_columns",
     "first_per_key",

@@ -31,6 +31,30 @@ def _width(dtype) -> int:
             "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}.get(name, 20)
 
 
+def exceeds_rows(df: DataFrame, n: int) -> bool:
+    """True when ``df`` has more than ``n`` rows, without counting it all.
+
+    ``offset(n).take(1)`` runs as a collect-limit: partitions are scanned a
+    few at a time (one, then more by ``spark.sql.limit.scaleUpFactor``) and
+    the scan stops once ``n + 1`` rows were seen. No column is read, only
+    zero-width rows are held by the driver JVM, and at most one row reaches
+    Python. (``limit(n + 1).count()`` instead plans a single-partition
+    exchange into which every map task writes up to ``n + 1`` rows.)
+    """
+    return len(df.select().offset(n).take(1)) > 0
+
+
+def broadcast_row_bound(
+    df: DataFrame,
+    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
+) -> int:
+    """Row bound for broadcasting ``df``: the smaller of ``max_rows`` and
+    ``max_bytes`` over the schema's estimated row width."""
+    width = max(1, sum(_width(f.dataType) for f in df.schema.fields))
+    return max(1, min(max_rows, max_bytes // width))
+
+
 def broadcast_if_small(
     df: DataFrame,
     max_rows: int = BROADCAST_MAX_ROWS,
@@ -38,15 +62,14 @@ def broadcast_if_small(
 ) -> DataFrame:
     """Hint a broadcast only for a side whose size is checked to be bounded.
 
-    The check is a count over ``limit(n + 1)`` - it stops reading once the
-    bound is exceeded - so it costs at most ``n + 1`` rows of the side, and a
-    side over the bound is returned unchanged for a shuffled join (where AQE
-    may still broadcast it from its measured size). The row bound is the
-    smaller of ``max_rows`` and ``max_bytes`` over the schema's row width.
+    The check is ``exceeds_rows`` against ``broadcast_row_bound``; a side
+    over the bound is returned unchanged for a shuffled join (where AQE may
+    still broadcast it from its measured size). The check evaluates ``df``
+    up to its first ``bound + 1`` rows, so a side derived by a shuffle is
+    best gated by a cheap check of its inputs first (see
+    ``plans.music.build_songplays``).
     """
-    width = max(1, sum(_width(f.dataType) for f in df.schema.fields))
-    bound = max(1, min(max_rows, max_bytes // width))
-    if df.limit(bound + 1).count() <= bound:
+    if not exceeds_rows(df, broadcast_row_bound(df, max_rows, max_bytes)):
         return F.broadcast(df)
     return df
 

@@ -19,11 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from starweave.operators.clean import _c, _names, first_per_key
-from starweave.operators.joins import anti_join, broadcast_if_small, not_in
-from starweave.session import checkpoint_root
+from starweave.operators.joins import anti_join, exceeds_rows, not_in
+from starweave.session import checkpoint_root, scratch_path
 
 ColumnLike = Column | str
 
+# Most directory-partition values (e.g. periods of a fact) one appended batch
+# may touch for the stored table to be pruned to them by a static filter.
+MAX_TOUCHED_PARTITIONS = 10_000
+
 
 # --------------------------------------------------------------------------
 # writers
@@ -92,21 +96,40 @@ def append_new(
     Keys compare null-safely, so rows with a null key part are not appended
     again by a rerun. With ``partition_by`` (directory partitions that are
     part of the key, e.g. the period of a fact) the stored table is written
-    partitioned and a batch is compared only with the stored partitions it
-    touches: a left-semi join on the batch's distinct partition values lets
-    Spark prune the stored scan (dynamic partition pruning), so an hourly
-    load does not re-read the whole history.
+    partitioned, and a batch is compared only with the stored partitions it
+    touches, so an hourly load does not re-read the whole history:
+
+    1. the batch is written once to the shared scratch folder, partitioned
+       like the target. It is computed once (not again to find its periods),
+       and its lineage is cut, so a lost executor does not recompute it;
+    2. the periods it touches are read from the staged partition columns
+       alone, checked to be at most ``MAX_TOUCHED_PARTITIONS`` and turned
+       into a static filter on the stored table's partition columns, which
+       prunes the stored scan when it is planned. (A semi-join on the periods
+       would not: dynamic pruning needs a selective filter on the batch.)
+       A batch touching more periods is compared with the whole history.
     """
     spark = df.sparkSession
+    partition_by = list(partition_by)
     stored_schema = df.select(*[c for c in df.columns if c not in partition_by], *partition_by).schema
     current = read_if_exists(spark, path, fmt, schema=stored_schema)
     if current is None:
         fresh = df
-    else:
-        if partition_by:
-            periods = broadcast_if_small(df.select(*partition_by).distinct())
-            current = current.join(periods, list(partition_by), "left_semi")
+    elif not partition_by:
         fresh = anti_join(df, current, [(k, k) for k in keys], null_safe=True)
+    else:
+        staged = write_table(df, scratch_path(spark, "append-batch"), fmt=fmt, partition_by=partition_by)
+        batch = spark.read.format(fmt).schema(stored_schema).load(staged).select(*df.columns)
+        periods = batch.select(*partition_by).distinct()
+        if not exceeds_rows(periods, MAX_TOUCHED_PARTITIONS):
+            touched = periods.collect()  # checked: at most MAX_TOUCHED_PARTITIONS small rows
+            for i, name in enumerate(partition_by):
+                values = sorted({r[i] for r in touched if r[i] is not None})
+                cond = F.col(name).isin(values)
+                if any(r[i] is None for r in touched):
+                    cond = cond | F.col(name).isNull()
+                current = current.where(cond)
+        fresh = anti_join(batch, current, [(k, k) for k in keys], null_safe=True)
     return write_table(fresh, path, mode="append", fmt=fmt, partition_by=partition_by,
                        rebalance=bool(partition_by))
 

@@ -149,3 +149,39 @@ def test_rerun_semantics(spark):
     assert spark.read.parquet(p_new).count() == 2  # null key part compared null-safely
     assert spark.read.parquet(p_trunc).count() == 2
     assert read_if_exists(spark, scratch_path(spark, "missing")) is None
+
+
+def test_append_new_partitioned_prunes_untouched_periods(spark):
+    """A batch is compared only with the stored periods it touches.
+
+    An unreadable file sits in a period the batch does not touch: the append
+    succeeds only if that directory is pruned from the stored scan.
+    """
+    import os
+
+    schema = "k int, v string, year int, month int"
+    first = spark.createDataFrame([(1, "a", 2020, 1), (2, "b", 2020, 2), (3, "c", 2021, 1)], schema)
+    path = scratch_path(spark, "periods")
+    append_new(first, path, ["k", "year", "month"], partition_by=["year", "month"])
+    with open(os.path.join(path, "year=2020", "month=2", "part-broken.parquet"), "wb") as fh:
+        fh.write(b"not parquet")
+
+    # touches (2020, 1) and (2021, 1): one key already stored, one new, one
+    # row with a null period (its own directory)
+    batch = spark.createDataFrame(
+        [(1, "a", 2020, 1), (4, "d", 2021, 1), (5, "e", None, None)], schema)
+    for _ in range(2):  # the rerun appends nothing
+        append_new(batch, path, ["k", "year", "month"], partition_by=["year", "month"])
+    stored = spark.read.schema(schema).parquet(path).where(
+        ~(F.col("year").eqNullSafe(2020) & F.col("month").eqNullSafe(2)))
+    assert sorted((r.k, r.year, r.month) for r in stored.collect()) == [
+        (1, 2020, 1), (3, 2021, 1), (4, 2021, 1), (5, None, None)]
+
+
+def test_exceeds_rows_boundary(spark):
+    from starweave.operators import exceeds_rows
+
+    df = spark.range(0, 1000, numPartitions=7)
+    assert exceeds_rows(df, 999)
+    assert not exceeds_rows(df, 1000)
+    assert not exceeds_rows(df.where(F.col("id") < 0), 0)
