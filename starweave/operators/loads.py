@@ -118,7 +118,8 @@ def append_new(
     elif not partition_by:
         fresh = anti_join(df, current, [(k, k) for k in keys], null_safe=True)
     else:
-        staged = write_table(df, scratch_path(spark, "append-batch"), fmt=fmt, partition_by=partition_by)
+        staged = write_table(df, scratch_path(spark, "append-batch"), fmt=fmt, partition_by=partition_by,
+                             rebalance=True)
         batch = spark.read.format(fmt).schema(stored_schema).load(staged).select(*df.columns)
         periods = batch.select(*partition_by).distinct()
         if not exceeds_rows(periods, MAX_TOUCHED_PARTITIONS):
