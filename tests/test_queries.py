@@ -101,3 +101,34 @@ def test_flagship_pushes_filter_and_prunes_columns(spark):
     li_schema = [line for line in plan.splitlines() if "ReadSchema" in line and "l_orderkey" in line][0]
     assert "l_extendedprice" not in li_schema  # only the columns the fact needs are read
     assert "LessThanOrEqual(p_size,25)" in plan
+
+
+def _depth(line: str) -> int:
+    """Tree depth of a line of a 'simple' plan (position of its node text)."""
+    for i, ch in enumerate(line):
+        if ch not in " :+-":
+            return i
+    return len(line)
+
+
+def _ancestors(lines: list[str], idx: int) -> list[str]:
+    out, depth = [], _depth(lines[idx])
+    for ln in reversed(lines[:idx]):
+        d = _depth(ln)
+        if d < depth:
+            out.append(ln.strip())
+            depth = d
+    return out
+
+
+def test_flagship_fact_side_is_not_shuffled(spark):
+    """The play log reaches the output without any exchange: the natural key
+    is matched once per part row, and the matched dimension (size-checked)
+    is broadcast to the scan of the log."""
+    from __spark_entry__ import queries
+
+    lines = [ln for ln in _plan(queries()["fact_left_md5"](spark, SF), "simple").splitlines() if ln.strip()]
+    scan = next(i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "lineitem" in ln)
+    path = _ancestors(lines, scan)
+    assert path, lines
+    assert not [ln for ln in path if "Exchange" in ln], "\n".join(lines)
