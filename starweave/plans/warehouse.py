@@ -21,12 +21,12 @@ from starweave.plans.music import build_artists, build_songplays, build_songs, b
 
 
 @dataclass
-class PipelineResult:
+class WarehouseLoad:
     paths: dict[str, str]
     checks: DataFrame
 
 
-def run_pipeline(
+def load_warehouse(
     spark: SparkSession,
     events: DataFrame,
     songs: DataFrame,
@@ -40,7 +40,7 @@ def run_pipeline(
     weekday_base: str = "sun0",
     fact_mode: str = "append_new",
     on_failure: str = "report",
-) -> PipelineResult:
+) -> WarehouseLoad:
     """Stage, load fact, load dimensions, check. Returns written paths and the
     check report (``on_failure="raise"`` raises on a failed check)."""
     base = dst.rstrip("/")
@@ -83,4 +83,4 @@ def run_pipeline(
     ])
     if on_failure == "raise":
         assert_passed(checks)
-    return PipelineResult(paths, checks)
+    return WarehouseLoad(paths, checks)
