@@ -90,6 +90,7 @@ def append_new(
     keys: Sequence[str],
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    stage: bool = True,
 ) -> str:
     """K5 made idempotent: append only rows whose key is not stored yet.
 
@@ -108,6 +109,9 @@ def append_new(
        prunes the stored scan when it is planned. (A semi-join on the periods
        would not: dynamic pruning needs a selective filter on the batch.)
        A batch touching more periods is compared with the whole history.
+
+    ``stage=False`` skips step 1 for a batch that is cheap and deterministic
+    to read twice, such as a micro-batch of landed files.
     """
     spark = df.sparkSession
     partition_by = list(partition_by)
@@ -118,9 +122,11 @@ def append_new(
     elif not partition_by:
         fresh = anti_join(df, current, [(k, k) for k in keys], null_safe=True)
     else:
-        staged = write_table(df, scratch_path(spark, "append-batch"), fmt=fmt, partition_by=partition_by,
-                             rebalance=True)
-        batch = spark.read.format(fmt).schema(stored_schema).load(staged).select(*df.columns)
+        batch = df
+        if stage:
+            staged = write_table(df, scratch_path(spark, "append-batch"), fmt=fmt, partition_by=partition_by,
+                                 rebalance=True)
+            batch = spark.read.format(fmt).schema(stored_schema).load(staged).select(*df.columns)
         periods = batch.select(*partition_by).distinct()
         if not exceeds_rows(periods, MAX_TOUCHED_PARTITIONS):
             touched = periods.collect()  # checked: at most MAX_TOUCHED_PARTITIONS small rows

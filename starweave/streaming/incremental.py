@@ -11,7 +11,7 @@ rows: a replayed batch finds its keys already stored.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -31,12 +31,20 @@ def incremental_load(
     fmt: str = "parquet",
     max_files_per_batch: int | None = None,
     options: dict[str, str] | None = None,
+    partitions: Mapping[str, Column] | None = None,
 ) -> int:
     """Load every file landed so far into ``target`` and stop.
 
     Uses ``trigger(availableNow=True)``: all available files, split into
     micro-batches of ``max_files_per_batch`` files, then the query ends
     (the hourly run of the reference). Returns the number of batches run.
+
+    ``partitions`` (name -> expression over a row, e.g. year and month of an
+    order's date) lays the target out in directories. Each micro-batch is
+    then compared only with the stored directories it touches (see
+    ``append_new``), so an hourly run does not re-read the whole history.
+    Each expression must give one fixed value per key (derived from an
+    attribute the key never changes), so the comparison stays per key.
     """
     reader = spark.readStream.schema(schema).format(fmt).options(**(options or {}))
     if max_files_per_batch:
@@ -46,7 +54,13 @@ def incremental_load(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         first = first_per_key(batch, list(keys), order_by, keep="first")
-        append_new(first, target, list(keys))
+        if partitions:
+            dated = first.withColumns(dict(partitions))
+            # a micro-batch is a replayable scan of landed files: read it twice, do not stage it
+            append_new(dated, target, [*keys, *partitions], fmt=fmt, partition_by=list(partitions),
+                       stage=False)
+        else:
+            append_new(first, target, list(keys), fmt=fmt)
         batches.append(batch_id)
 
     query = (
