@@ -20,7 +20,7 @@ from pyspark.sql.utils import AnalysisException
 
 from starweave.operators.clean import _c, _names, first_per_key
 from starweave.operators.joins import anti_join, exceeds_rows, not_in
-from starweave.session import checkpoint_root, scratch_path
+from starweave.session import scratch_path
 
 ColumnLike = Column | str
 
@@ -272,26 +272,36 @@ def dense_ids(
     """Gap-free surrogate keys ``start, start+1, ...`` in ``order_by``.
 
     Equal to a global ``row_number`` but without funnelling all rows through
-    one task: rows are range-partitioned and sorted, checkpointed (reliable
-    checkpoint in the shared ``spark.checkpoint.dir``, so both passes below
-    see identical partitions and an executor loss does not re-shuffle), each
-    partition counted, and the running offsets - one row per partition, so
-    their size is bounded by the partition count - broadcast back.
-    ``order_by`` should be unique for a reproducible numbering.
+    one task:
+
+    1. rows are range-partitioned and sorted;
+    2. each row is tagged with its range partition and its index inside it;
+    3. the tagged rows are written once as a parquet table in the shared
+       ``spark.checkpoint.dir`` (compressed, columnar; each partition is
+       committed by exactly one task attempt, so the tags of a retried task
+       cannot disagree with the counts, and the lineage is cut);
+    4. each range partition is counted, and the running offsets - one row
+       per partition, so their size is bounded by the partition count - are
+       broadcast back to the stored rows.
+
+    The tags travel with the rows, so the numbering does not depend on how
+    the stored table is split when read back. ``order_by`` should be unique
+    for a reproducible numbering.
     """
-    checkpoint_root(df.sparkSession)
+    spark = df.sparkSession
     order = _batch_order(order_by)
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
-    ordered = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
-    tagged = ordered.withColumns(
-        {"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}
-    )
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    pid = F.spark_partition_id()
+    tagged = ranged.sortWithinPartitions(*order).withColumns({
+        "_pid": pid,
+        "_idx": F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33),
+    })
+    stored = spark.read.parquet(write_table(tagged, scratch_path(spark, "dense-ids")))
+    counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local_index = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, F.col("_off") + local_index + F.lit(start))
+        stored.join(F.broadcast(offsets), "_pid")
+        .withColumn(name, F.col("_off") + F.col("_idx") + F.lit(start))
         .select(name, *df.columns)
     )
