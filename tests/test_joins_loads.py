@@ -185,3 +185,18 @@ def test_exceeds_rows_boundary(spark):
     assert exceeds_rows(df, 999)
     assert not exceeds_rows(df, 1000)
     assert not exceeds_rows(df.where(F.col("id") < 0), 0)
+
+
+def test_dense_ids_independent_of_read_splits(spark):
+    """The stored rows are read back in many small splits; ids stay dense and ordered."""
+    from pyspark.sql import Window
+
+    df = spark.range(0, 20000).select((F.col("id") * 7919 % 20000).alias("x"), F.lit("pad").alias("p"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = sorted(map(tuple, dense_ids(df, "x", name="sk", start=0, num_partitions=3).select("sk", "x").collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    expected = df.select((F.row_number().over(Window.orderBy("x")) - 1).alias("sk"), "x")
+    assert got == sorted(map(tuple, expected.collect()))
