@@ -54,9 +54,10 @@ def _plan(df, mode="formatted") -> str:
     return buf.getvalue()
 
 
-# Physical operators that do not scale: a cartesian join emits all pairs,
+# Physical operators that do not scale: a cartesian or nested-loop join
+# compares all pairs (a null-aware NOT IN or a non-equi condition plans one),
 # Python evaluation leaves codegen.
-FORBIDDEN = ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython")
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
 def _unbounded_single_partition(plan: str) -> list[str]:
