@@ -96,3 +96,24 @@ def test_dense_ids_with_tied_order_values(spark):
     assert sorted(r.sk for r in got) == list(range(1, N + 1))
     rows = ids.orderBy("sk").select("k", "seq").collect()
     assert [(r.k, r.seq) for r in rows] == sorted((r.k, r.seq) for r in rows)
+
+
+def test_append_new_with_a_hot_period(spark):
+    from starweave.operators import append_new
+
+    df = _skewed(spark).withColumn("period", F.when(F.col("k") == 0, F.lit(1)).otherwise(F.col("k") % 4 + 2))
+    path = scratch_path(spark, "hot-period")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16KB")
+    try:
+        append_new(df.where("seq % 2 = 0"), path, ["seq", "period"], partition_by=["period"])
+        for _ in range(2):  # the second batch is staged; the rerun appends nothing
+            append_new(df, path, ["seq", "period"], partition_by=["period"])
+    finally:
+        spark.conf.set(key, before)
+    hot_files = [f for f in os.listdir(os.path.join(path, "period=1")) if f.endswith(".parquet")]
+    assert len(hot_files) >= 4  # each load's hot-period rows are spread over several tasks
+    back = spark.read.parquet(path)
+    assert back.count() == N and back.select("seq").distinct().count() == N
+    assert back.where("period = 1").count() == N // 3
