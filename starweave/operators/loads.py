@@ -68,15 +68,26 @@ def write_table(
     return path
 
 
+# Analysis errors that mean "nothing stored yet": no such path, or a folder
+# without any data file to take a schema from.
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame | None:
-    """Open a previously written table, or None when there is none yet."""
+    """Open a previously written table, or None when there is none yet.
+
+    Any other failure is raised: treating an unreadable target as empty
+    would make an idempotent load append its whole batch again.
+    """
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     try:
         return reader.load(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as exc:
+        if exc.getCondition() in _ABSENT:
+            return None
+        raise
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> str:

@@ -200,3 +200,16 @@ def test_dense_ids_independent_of_read_splits(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     expected = df.select((F.row_number().over(Window.orderBy("x")) - 1).alias("sk"), "x")
     assert got == sorted(map(tuple, expected.collect()))
+
+
+def test_read_if_exists_raises_on_other_errors(spark):
+    import pytest
+    from pyspark.sql.utils import AnalysisException
+
+    assert read_if_exists(spark, scratch_path(spark, "nothing-here")) is None
+    path = scratch_path(spark, "stored")
+    spark.createDataFrame([(1,)], "k int").write.parquet(path)
+    assert read_if_exists(spark, path).count() == 1
+    # an analysis error other than "nothing stored" is not mistaken for an empty target
+    with pytest.raises(AnalysisException):
+        read_if_exists(spark, path, schema="k int, k int")
