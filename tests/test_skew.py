@@ -117,3 +117,27 @@ def test_append_new_with_a_hot_period(spark):
     back = spark.read.parquet(path)
     assert back.count() == N and back.select("seq").distinct().count() == N
     assert back.where("period = 1").count() == N // 3
+
+
+def test_shuffled_natural_key_join_splits_the_hot_key_at_run_time(spark):
+    """Without a broadcast, AQE splits the hot key's partition of the log
+    (inner and left joins); the final plan after the action shows it."""
+    log = _skewed(spark).select(F.col("k").cast("string").alias("song"), "seq")
+    dim = spark.range(0, 2001).select(F.col("id").cast("string").alias("title"), (F.col("id") * 10).alias("song_id"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for how in ("inner", "left"):
+            out = natural_key_join(log, dim, [("song", "title")], how=how)
+            assert len(out.collect()) == N
+            assert "SortMergeJoin(skew=true)" in _plan(out), how
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
