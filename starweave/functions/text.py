@@ -18,13 +18,18 @@ def to_double(col: Column | str) -> Column:
 def parse_number(col: Column | str, to: str = "int", on_error: str = "null") -> Column:
     """Parse a string to a numeric type.
 
-    ``on_error="fail"`` keeps the ANSI cast, so a bad value fails the job;
-    ``on_error="null"`` maps bad values to null.
+    ``on_error="fail"`` fails the job on the first value that does not
+    parse, whatever the session's ANSI setting; ``on_error="null"`` maps bad
+    values to null.
     """
+    c = _c(col)
+    parsed = c.try_cast(to)
     if on_error == "fail":
-        return _c(col).cast(to)
+        bad = c.isNotNull() & parsed.isNull()
+        return F.when(bad, F.raise_error(F.concat(F.lit(f"cannot parse as {to}: "), c.cast("string")))) \
+            .otherwise(parsed)
     if on_error == "null":
-        return _c(col).try_cast(to)
+        return parsed
     raise ValueError("on_error must be 'fail' or 'null'")
 
 

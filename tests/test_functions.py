@@ -100,6 +100,15 @@ def test_parse_number_modes(spark):
     assert one(spark, df.select(parse_number("v", "int", "null").alias("n")), "n") == [12, None]
     with pytest.raises(Exception):
         df.select(parse_number("v", "int", "fail").alias("n")).collect()
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:  # fails without ANSI mode too
+        with pytest.raises(Exception, match="cannot parse as int"):
+            df.select(parse_number("v", "int", "fail").alias("n")).collect()
+        good = spark.createDataFrame([("12",), (None,)], "v string")
+        assert one(spark, good.select(parse_number("v", "int", "fail").alias("n")), "n") == [12, None]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
 
 
 def test_widths(spark):
