@@ -113,7 +113,8 @@ def append_new(
 
     1. the batch is written once to the shared scratch folder, partitioned
        like the target. It is computed once (not again to find its periods),
-       and its lineage is cut, so a lost executor does not recompute it;
+       and its lineage is cut, so a lost executor does not recompute it.
+       Once the append has committed, the staged copy is truncated;
     2. the periods it touches are read from the staged partition columns
        alone, checked to be at most ``MAX_TOUCHED_PARTITIONS`` and turned
        into a static filter on the stored table's partition columns, which
@@ -148,6 +149,12 @@ def append_new(
                     cond = cond | F.col(name).isNull()
                 current = current.where(cond)
         fresh = anti_join(batch, current, [(k, k) for k in keys], null_safe=True)
+        if stage:
+            write_table(fresh, path, mode="append", fmt=fmt, partition_by=partition_by, rebalance=True)
+            # the append has committed: truncate the staged copy, so the shared
+            # folder does not keep a second copy of every batch
+            spark.createDataFrame([], stored_schema).write.mode("overwrite").format(fmt).save(staged)
+            return path
     return write_table(fresh, path, mode="append", fmt=fmt, partition_by=partition_by,
                        rebalance=bool(partition_by))
 

@@ -213,3 +213,21 @@ def test_read_if_exists_raises_on_other_errors(spark):
     # an analysis error other than "nothing stored" is not mistaken for an empty target
     with pytest.raises(AnalysisException):
         read_if_exists(spark, path, schema="k int, k int")
+
+
+def test_append_new_truncates_its_staged_batch(spark):
+    import glob
+    import os
+
+    from starweave.session import checkpoint_root
+
+    schema = "k int, year int"
+    path = scratch_path(spark, "staged-cleanup")
+    df = spark.createDataFrame([(1, 2020), (2, 2021)], schema)
+    append_new(df, path, ["k", "year"], partition_by=["year"])
+    before = set(glob.glob(os.path.join(checkpoint_root(spark), "starweave", "append-batch-*")))
+    append_new(df.union(spark.createDataFrame([(3, 2021)], schema)), path, ["k", "year"], partition_by=["year"])
+    staged = set(glob.glob(os.path.join(checkpoint_root(spark), "starweave", "append-batch-*"))) - before
+    assert len(staged) == 1
+    assert spark.read.parquet(staged.pop()).count() == 0
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3]
