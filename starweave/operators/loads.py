@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from starweave.operators.clean import _c, _names, first_per_key
-from starweave.operators.joins import anti_join, exceeds_rows, not_in
+from starweave.operators.joins import anti_join, not_in
 from starweave.session import scratch_path
 
 ColumnLike = Column | str
@@ -139,9 +139,10 @@ def append_new(
             staged = write_table(df, scratch_path(spark, "append-batch"), fmt=fmt, partition_by=partition_by,
                                  rebalance=True)
             batch = spark.read.format(fmt).schema(stored_schema).load(staged).select(*df.columns)
-        periods = batch.select(*partition_by).distinct()
-        if not exceeds_rows(periods, MAX_TOUCHED_PARTITIONS):
-            touched = periods.collect()  # checked: at most MAX_TOUCHED_PARTITIONS small rows
+        # one job gives both the bound check and the values: at most
+        # MAX_TOUCHED_PARTITIONS + 1 small rows reach the driver
+        touched = batch.select(*partition_by).distinct().take(MAX_TOUCHED_PARTITIONS + 1)
+        if len(touched) <= MAX_TOUCHED_PARTITIONS:
             for i, name in enumerate(partition_by):
                 values = sorted({r[i] for r in touched if r[i] is not None})
                 cond = F.col(name).isin(values)
