@@ -83,7 +83,8 @@ def json_auto_truncate(spark, sf_dir):
     path = scratch_path(spark, "documents_json")
     # nested layout lang=../source=../*.json, read through a directory glob
     # like song_data/*/*/*.json; basePath keeps the directory values
-    write_table(t.documents, path, fmt="json", partition_by=["lang", "source"], options=TEXT_OPTIONS)
+    write_table(t.documents, path, fmt="json", partition_by=["lang", "source"], rebalance=True,
+                options=TEXT_OPTIONS)
     # by-name load ('auto'): only declared fields are read, in any file order
     schema = struct("text string, n_chars bigint, doc_id bigint")
     back = read_json(spark, f"{path}/*/*/*.json", schema, options={"basePath": path})
@@ -103,7 +104,7 @@ FROM events
 def json_recursive_lineage(spark, sf_dir):
     t = Tables(spark, sf_dir)
     path = scratch_path(spark, "events_tree")
-    write_table(t.events, path, fmt="json", partition_by=["event_type"], options=TEXT_OPTIONS)
+    write_table(t.events, path, fmt="json", partition_by=["event_type"], rebalance=True, options=TEXT_OPTIONS)
     schema = struct("event_id bigint, value double")
     back = with_lineage(read_json(spark, path, schema, recursive=True, glob_filter="*.json"))
     folder = F.regexp_extract(F.col("source_file"), "event_type=([^/]+)/", 1)
@@ -192,7 +193,7 @@ def parquet_partition_read(spark, sf_dir):
     t = Tables(spark, sf_dir)
     base = scratch_path(spark, "orders_by_year")
     dated = t.orders.withColumn("year", F.year("o_orderdate"))
-    write_table(dated, base, partition_by=["year"])
+    write_table(dated, base, partition_by=["year"], rebalance=True)
     # reload one period: path built from a run context; the partition value
     # comes back from the directory through basePath
     path = templated_path("{base}/year={year}", base=base, year=1998)
