@@ -2,10 +2,11 @@
 
 "First wins" / "last wins" are deterministic here: the reference relied on
 arrival order, which Spark does not keep, so every such operator takes an
-order. The pick is a grouped ``min_by`` / ``max_by`` over a struct, which is a
-partial (map-side) aggregate: a key that owns a third of all rows is reduced
-to one row per map task before the shuffle, so a hot key never lands whole in
-one task, and no window sort of the full input is needed.
+order. The pick is a grouped ``min`` / ``max`` of one struct (order columns,
+then the row), which is a partial (map-side) aggregate: a key that owns a
+third of all rows is reduced to one row per map task before the shuffle, so a
+hot key never lands whole in one task, and no window sort of the full input
+is needed.
 """
 
 from __future__ import annotations
@@ -82,18 +83,26 @@ def first_per_key(
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.select(*keys).distinct()
-    order = F.struct(*[_c(c) for c in _names(order_by)], *[F.col(c) for c in others])
-    payload = F.struct(*[F.col(c) for c in others])
+    # One struct (order columns, then the rest of the row) is both the order
+    # and the payload, so the aggregation buffer - and each partial row that
+    # is shuffled - carries the row once (min_by(row, order) would carry it
+    # twice). Fields are named by position: order and row columns may share
+    # names.
+    order = [_c(c) for c in _names(order_by)]
+    ranked = F.struct(
+        *[c.alias(f"_o{i}") for i, c in enumerate(order)],
+        *[F.col(c).alias(f"_p{j}") for j, c in enumerate(others)],
+    )
     if keep == "first":
-        picked = F.min_by(payload, order)
+        picked = F.min(ranked)
     elif keep == "last":
-        picked = F.max_by(payload, order)
+        picked = F.max(ranked)
     else:
         raise ValueError("keep must be 'first' or 'last'")
     return (
         df.groupBy(*keys)
         .agg(picked.alias("_picked"))
-        .select(*keys, "_picked.*")
+        .select(*keys, *[F.col(f"_picked._p{j}").alias(c) for j, c in enumerate(others)])
         .select(*df.columns)
     )
 

@@ -34,7 +34,7 @@ def test_first_per_key_hot_key_is_combined_map_side(spark):
     out = first_per_key(df, ["k"], "seq")
     plan = _plan(out)
     # the partial aggregate sits below the shuffle: each task sends one row per key
-    assert plan.index("partial_min_by") > plan.index("Exchange hashpartitioning")
+    assert plan.index("partial_min(") > plan.index("Exchange hashpartitioning")
     got = {r.k: r.seq for r in out.collect()}
     assert got[0] == 0 and len(got) == 2001
     expected = {r.k: r["m"] for r in df.groupBy("k").agg(F.min("seq").alias("m")).collect()}
