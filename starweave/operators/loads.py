@@ -197,30 +197,43 @@ def upsert(
     the target keep every other column; only ``update_cols`` take the value of
     the key's last update. A key new to the target enters with its first
     update's values, then takes later updates of ``update_cols``.
-    One grouped aggregate, no window: ``min_by``/``max_by`` combine map-side.
+    One grouped aggregate, no window: ``min``/``max`` combine map-side.
     """
     keys, update_cols = list(keys), list(update_cols)
     cols = target.columns
-    fixed = [c for c in cols if c not in keys and c not in update_cols]
-    tie = [F.col(c) for c in cols if c not in keys]
+    rest = [c for c in cols if c not in keys]
+    order = _batch_order(order_by)
+    o_names = [f"_o{i}" for i in range(len(order))]
+    p_names = [f"_p{j}" for j in range(len(rest))]
     u = updates.select(
-        *cols,
+        *keys,
         F.lit(1).alias("_src"),
-        F.struct(*_batch_order(order_by), *tie).alias("_ord"),
+        *[c.alias(n) for c, n in zip(order, o_names)],
+        *[F.col(c).alias(n) for c, n in zip(rest, p_names)],
+    )
+    # Target rows sort before every update (_src = 0); their order values are
+    # null and only the row itself breaks ties among them.
+    t = target.select(
+        *keys,
+        F.lit(0).alias("_src"),
+        *[F.lit(None).cast(u.schema[n].dataType).alias(n) for n in o_names],
+        *[F.col(c).alias(n) for c, n in zip(rest, p_names)],
+    )
+    # One struct (source, order, row) ranks the rows and carries them: its
+    # min is the first row (the fixed columns come from it), its max over the
+    # updates the last update (the updated columns come from it). A key
+    # without updates keeps its first row whole.
+    ranked = F.struct("_src", *o_names, *p_names)
+    out = t.unionByName(u).groupBy(*keys).agg(
+        F.min(ranked).alias("_first"),
+        F.max(F.when(F.col("_src") == F.lit(1), ranked)).alias("_last"),
     )
-    # The target side carries a null order of the same type: its value is
-    # irrelevant because _src = 0 sorts before every update.
-    t = target.select(*cols, F.lit(0).alias("_src"), F.lit(None).cast(u.schema["_ord"].dataType).alias("_ord"))
-    rank = F.struct(F.col("_src"), F.col("_ord"))
-    aggs = []
-    if fixed:
-        aggs.append(F.min_by(F.struct(*fixed), rank).alias("_first"))
-    for c in update_cols:
-        aggs.append(F.max_by(F.col(c), rank).alias(c))
-    out = t.unionByName(u).groupBy(*keys).agg(*aggs)
-    if fixed:
-        out = out.select(*keys, "_first.*", *update_cols)
-    return out.select(*cols)
+    picks = {}
+    for c, n in zip(rest, p_names):
+        first = F.col(f"_first.{n}")
+        picks[c] = (F.when(F.col("_last").isNull(), first).otherwise(F.col(f"_last.{n}"))
+                    if c in update_cols else first).alias(c)
+    return out.select(*[picks.get(c, F.col(c)) for c in cols])
 
 
 def insert_absent(

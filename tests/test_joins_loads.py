@@ -231,3 +231,17 @@ def test_append_new_truncates_its_staged_batch(spark):
     assert len(staged) == 1
     assert spark.read.parquet(staged.pop()).count() == 0
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
+def test_upsert_picks_deterministically_among_duplicate_target_rows(spark):
+    target = spark.createDataFrame([(1, "b", "free"), (1, "a", "paid"), (2, "c", "free")],
+                                   "user_id int, name string, level string")
+    updates = spark.createDataFrame([(2, "z", "paid", 5)], "user_id int, name string, level string, ts int")
+    got = {r.user_id: (r.name, r.level) for r in upsert(target, updates, ["user_id"], ["level"], "ts").collect()}
+    # key 1: no update; its row is the smallest of its target rows, whole
+    # key 2: name kept from the target, level from the update
+    assert got == {1: ("a", "paid"), 2: ("c", "paid")}
+    # an update that sets the column to null is applied, not skipped
+    nulled = updates.union(spark.createDataFrame([(2, "z", None, 6)], updates.schema))
+    got = {r.user_id: r.level for r in upsert(target, nulled, ["user_id"], ["level"], "ts").collect()}
+    assert got == {1: "paid", 2: None}
