@@ -32,12 +32,14 @@ def incremental_load(
     max_files_per_batch: int | None = None,
     options: dict[str, str] | None = None,
     partitions: Mapping[str, Column] | None = None,
+    target_fmt: str = "parquet",
 ) -> int:
     """Load every file landed so far into ``target`` and stop.
 
-    Uses ``trigger(availableNow=True)``: all available files, split into
-    micro-batches of ``max_files_per_batch`` files, then the query ends
-    (the hourly run of the reference). Returns the number of batches run.
+    ``fmt`` is the format of the landed files, ``target_fmt`` that of the
+    loaded table. Uses ``trigger(availableNow=True)``: all available files,
+    split into micro-batches of ``max_files_per_batch`` files, then the query
+    ends (the hourly run of the reference). Returns the number of batches run.
 
     ``partitions`` (name -> expression over a row, e.g. year and month of an
     order's date) lays the target out in directories. Each micro-batch is
@@ -57,10 +59,10 @@ def incremental_load(
         if partitions:
             dated = first.withColumns(dict(partitions))
             # a micro-batch is a replayable scan of landed files: read it twice, do not stage it
-            append_new(dated, target, [*keys, *partitions], fmt=fmt, partition_by=list(partitions),
+            append_new(dated, target, [*keys, *partitions], fmt=target_fmt, partition_by=list(partitions),
                        stage=False)
         else:
-            append_new(first, target, list(keys), fmt=fmt)
+            append_new(first, target, list(keys), fmt=target_fmt)
         batches.append(batch_id)
 
     query = (
