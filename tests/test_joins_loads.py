@@ -265,3 +265,30 @@ def test_incremental_load_csv_landing_into_parquet(spark):
         incremental_load(spark, landing, rows.schema, target, ["k"], ["day"], ckpt, **args)
     stored = spark.read.parquet(target)  # the target is parquet, whatever the landing format
     assert sorted((r.k, r.year) for r in stored.collect()) == [(1, 2020), (2, 2020), (3, 2021), (4, 2021)]
+
+
+def test_broadcast_if_small_hints_only_within_the_bound(spark):
+    import contextlib
+    import io
+
+    from starweave.operators import broadcast_if_small
+
+    def plan(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue()
+
+    big = spark.range(0, 5000).withColumnRenamed("id", "k")
+    dim = spark.range(0, 100).withColumnRenamed("id", "k")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")  # only an explicit hint can broadcast
+    try:
+        assert "BroadcastHashJoin" in plan(big.join(broadcast_if_small(dim, max_rows=100), "k"))
+        over = plan(big.join(broadcast_if_small(dim, max_rows=99), "k"))
+        assert "BroadcastHashJoin" not in over and "SortMergeJoin" in over
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
