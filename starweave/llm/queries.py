@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.llm import exact, mixing
+from starweave.llm import exact, mixing, packing, simhash, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,10 +23,32 @@ def register(name: str, sql: str | None = None):
     return keep
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Where the box has a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_simhash_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_dedup(table(spark, sf_dir, "documents"), shingle=4, most_bits=4)
+
+
+@register("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@register("op7_harmonic_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), end=2, capacity=4096)
+
+
 @register(
     "op9_source_mix",
     r"""
