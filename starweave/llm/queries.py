@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.llm import exact, mixing, packing, simhash, tokens
+from starweave.llm import embeddings, exact, mixing, packing, simhash, tokens, warc
+from starweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +40,47 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents"), shingle=4, most_bits=4)
 
 
+#: DuckDB: base32 of the SHA-1 in hexadecimal ``h``, four characters for five digits.
+SQL_BASE32 = " || ".join(
+    "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"((('0x' || substr(h, {at}, 5))::INTEGER >> {shift}) & 31) + 1, 1)"
+    for at in range(1, 41, 5)
+    for shift in (15, 10, 5, 0)
+)
+
+
+@register(
+    "op2_warc_revisits",
+    """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS h FROM p),
+    w AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM d)
+    SELECT page_id, payload_bytes,
+           BASE32 AS payload_digest,
+           CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+    FROM w
+    """.replace("BASE32", SQL_BASE32),
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.archive(table(spark, sf_dir, "pages"), path)
+    number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(.*)>$', 1) as long)")
+    responses = warc.read(spark, path).where("record_type = 'response'")
+    revisits = warc.read(spark, path, payload=False).where("record_type = 'revisit'")
+    return responses.select(
+        number("record_id").alias("page_id"), F.length("payload").cast("long").alias("payload_bytes"),
+        warc.base32(F.sha1("payload")).alias("payload_digest"), "record_type", number("refers_to").alias("refers_to"),
+    ).union(
+        revisits.select(number("record_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"))
+    )
+
+
+@register("op4_embedding_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 @register("op6_token_counts")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary())
