@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.llm import embeddings, exact, mixing, packing, simhash, tokens, warc
+from starweave.llm import embeddings, exact, mixing, packing, pii, simhash, tokens, toxicity, warc
 from starweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op3_personal_data")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.personal_data(docs, pii.train(docs))
+
+
 @register("op4_embedding_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.9)
@@ -91,6 +97,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), end=2, capacity=4096)
 
 
+#: Texts that score this much or more are toxic.
+TOXIC = 0.3
+
+
+@register("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+    )
+
+
 @register(
     "op9_source_mix",
     r"""
