@@ -52,8 +52,8 @@ def _pieces(path: str, end: int, capacity: int, least: int, with_ids: bool):
         placed: dict[int, int] = {}
         for batch in pieces(batches, "text"):
             rows, ids = [], []
-            for doc, text in zip(batch["doc_id"].to_pylist(), utf8(batch["text"]).to_pylist()):
-                tokens = np.append(machine.encode(text), np.uint32(end)).astype("<u4")
+            for doc, text in zip(batch["doc_id"].to_pylist(), machine.encode(utf8(batch["text"]).to_pylist())):
+                tokens = np.append(text, np.uint32(end)).astype("<u4")
                 raw, at = memoryview(tokens.tobytes()), 0
                 for length in cuts(len(tokens), capacity, least):
                     held = raw[4 * at : 4 * (at + length)]

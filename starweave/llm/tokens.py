@@ -19,7 +19,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from starweave.llm.common import pieces, utf8
 
-#: Compiled paths a worker holds (some 150 bytes each) before it starts again.
-MOST_PATHS = 300_000
-#: Longer words are run through the library each time.
+#: Compiled paths a worker keeps (some 180 bytes each); beyond that, those of a batch last for the batch.
+MOST_PATHS = 500_000
+#: Longer words are compiled for a batch only.
 LONGEST_PATH = 48
 #: Characters of a chunk.
 CHUNK = 65_536
@@ -39,82 +39,72 @@ CHUNK = 65_536
 class Transducer:
     """Emitted tokens of words, compiled on first sight."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, with_ids: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.reset()
-
-    def reset(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.counts = np.zeros(1024, dtype=np.int64)
+        self.with_ids = with_ids
+        self.number: dict[bytes, int] = {}  # in order of compilation
+        self.kept = 0
+        self.sizes = np.zeros(1024, dtype=np.int64)
         self.begins = np.zeros(1024, dtype=np.int64)
         self.ids = np.zeros(4096, dtype=np.uint32)
-        self.used = 0
-
-    def _run(self, words: list[bytes]) -> list[list[int]]:
-        texts = [w.decode("utf-8") for w in words]
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _compile(self, words: list[bytes]) -> None:
-        emitted = self._run(words)
-        sizes = np.fromiter(map(len, emitted), dtype=np.int64, count=len(words))
+        runs = self.library.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
+        sizes = np.fromiter(map(len, runs), dtype=np.int64, count=len(words))
         at, most = len(self.number), len(self.number) + len(words)
-        if most > len(self.counts):
-            self.counts = np.resize(self.counts, 2 * most)
-            self.begins = np.resize(self.begins, 2 * most)
-        total = int(sizes.sum())
-        if self.used + total > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * (self.used + total))
-        self.counts[at:most] = sizes
-        self.begins[at:most] = self.used + np.cumsum(sizes) - sizes
-        self.ids[self.used : self.used + total] = [i for ids in emitted for i in ids]
-        self.used += total
+        if most > len(self.sizes):
+            self.sizes, self.begins = np.resize(self.sizes, 2 * most), np.resize(self.begins, 2 * most)
+        self.sizes[at:most] = sizes
+        used = int(self.begins[at - 1] + self.sizes[at - 1]) if at else 0
+        self.begins[at:most] = used + np.cumsum(sizes) - sizes
+        if self.with_ids:
+            total = int(sizes.sum())
+            if used + total > len(self.ids):
+                self.ids = np.resize(self.ids, 2 * (used + total))
+            ids = chain.from_iterable(r.ids for r in runs)
+            self.ids[used : used + total] = np.fromiter(ids, dtype=np.uint32, count=total)
         self.number.update(zip(words, range(at, most)))
 
     def paths(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of the words' paths, compiling those that are new."""
-        if len(self.number) > MOST_PATHS:
-            self.reset()
-        new = set(words).difference(self.number)
+        """Numbers of the words' paths until the next call, compiling those that are new."""
+        while len(self.number) > self.kept:
+            self.number.popitem()
+        new = sorted(set(words).difference(self.number))
         if new:
-            self._compile(sorted(new))
+            short = [w for w in new if len(w) <= LONGEST_PATH]
+            self.kept = min(MOST_PATHS, self.kept + len(short))
+            self._compile(short + [w for w in new if len(w) > LONGEST_PATH])
         return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
 
-    def count(self, words: list[bytes]) -> int:
-        """Tokens that a sequence of words emits."""
-        if any(len(w) > LONGEST_PATH for w in words):
-            long = [w for w in words if len(w) > LONGEST_PATH]
-            return sum(map(len, self._run(long))) + self.count([w for w in words if len(w) <= LONGEST_PATH])
-        path = self.paths(words)
-        return int(self.counts[path].sum())
-
-    def encode(self, text: bytes) -> np.ndarray:
-        """Token ids of a text."""
-        words = text.split()
-        known = [w if len(w) <= LONGEST_PATH else b"" for w in words]
-        path = self.paths(known)
-        sizes, begins = self.counts[path], self.begins[path]
+    def counts(self, texts: list[list[bytes]]) -> np.ndarray:
+        """Tokens that each sequence of words emits."""
+        path = self.paths(list(chain.from_iterable(texts)))
+        so_far = np.concatenate([[0], np.cumsum(self.sizes[path])])
+        ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+        return so_far[ends] - so_far[ends - [len(t) for t in texts]]
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Token ids of each text."""
+        words = [t.split() for t in texts]
+        path = self.paths(list(chain.from_iterable(words)))
+        sizes = self.sizes[path]
         ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(words) else 0
-        ids = self.ids[np.repeat(begins - ends + sizes, sizes) + np.arange(total)]
-        long = [i for i, w in enumerate(words) if len(w) > LONGEST_PATH]
-        if long:
-            runs, out, at = self._run([words[i] for i in long]), [], 0
-            for i, run in zip(long, runs):
-                out += [ids[at : ends[i]], np.array(run, dtype=np.uint32)]
-                at = ends[i]
-            ids = np.concatenate([*out, ids[at:]])
-        return ids
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.repeat(self.begins[path] - ends + sizes, sizes) + np.arange(total)]
+        so_far = np.concatenate([[0], ends])
+        cuts = so_far[np.cumsum([len(w) for w in words], dtype=np.int64)]
+        return np.split(ids, cuts[:-1]) if texts else []
 
 
 @cache
-def transducer(path: str) -> Transducer:
+def transducer(path: str, with_ids: bool = True) -> Transducer:
     """One per Python worker and vocabulary, kept between tasks."""
-    return Transducer(path)
+    return Transducer(path, with_ids)
 
 
 #: State map of a chunk: ``(closed, head, count, tail)``. A chunk that holds no
@@ -122,19 +112,25 @@ def transducer(path: str) -> Transducer:
 Map = tuple[bool, bytes, int, bytes]
 
 
-def state_map(chunk: bytes, machine: Transducer, first: bool, last: bool) -> Map:
-    """What a chunk does; at a text's ends its outer words are whole."""
-    if first:
-        chunk = b" " + chunk
-    if last:
-        chunk += b" "
+def split_chunk(chunk: bytes, first: bool, last: bool) -> tuple[bool, bytes, list[bytes], bytes]:
+    """``(closed, head, words held whole, tail)``; at a text's ends its outer words are whole."""
     words = chunk.split()
-    spaced = len(words) != 1 or chunk[:1].isspace() or chunk[-1:].isspace()
-    if not spaced:
-        return False, chunk, 0, b""
-    head = b"" if chunk[:1].isspace() or not words else words.pop(0)
-    tail = b"" if chunk[-1:].isspace() or not words else words.pop()
-    return True, head, machine.count(words), tail
+    left = first or not chunk or chunk[:1].isspace()
+    right = last or not chunk or chunk[-1:].isspace()
+    if len(words) == 1 and not left and not right:
+        return False, chunk, [], b""
+    if not left and not right and not words:
+        return False, b"", [], b""
+    head = b"" if left or not words else words.pop(0)
+    tail = b"" if right or not words else words.pop()
+    return True, head, words, tail
+
+
+def state_maps(chunks: list[tuple[bytes, bool, bool]], machine: Transducer) -> list[Map]:
+    """What each chunk ``(bytes, first of its text, last)`` does."""
+    cut = [split_chunk(*c) for c in chunks]
+    counts = machine.counts([words for _, _, words, _ in cut])
+    return [(closed, head, n, tail) for (closed, head, _, tail), n in zip(cut, counts.tolist())]
 
 
 def compose(a: Map, b: Map, machine: Transducer) -> Map:
@@ -144,15 +140,15 @@ def compose(a: Map, b: Map, machine: Transducer) -> Map:
     if not b[0]:
         return True, a[1], a[2], a[3] + b[1]
     between = a[3] + b[1]
-    return True, a[1], a[2] + b[2] + (machine.count([between]) if between else 0), b[3]
+    return True, a[1], a[2] + b[2] + (int(machine.counts([[between]])[0]) if between else 0), b[3]
 
 
 def _summaries(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = transducer(path)
+        machine = transducer(path, False)
         for batch in pieces(batches, "chunk"):
             rows = zip(utf8(batch["chunk"]).to_pylist(), batch["part"].to_pylist(), batch["parts"].to_pylist())
-            maps = [state_map(c, machine, part == 0, part == parts - 1) for c, part, parts in rows]
+            maps = state_maps([(c, part == 0, part == parts - 1) for c, part, parts in rows], machine)
             closed, heads, counts, tails = zip(*maps)
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], batch["doc_id"], batch["n_bytes"], batch["part"], pa.array(closed),
@@ -165,7 +161,7 @@ def _summaries(path: str):
 
 def _scan(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = transducer(path)
+        machine = transducer(path, False)
         for batch in batches:
             totals = []
             for maps in batch["maps"].to_pylist():
