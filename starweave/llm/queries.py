@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.llm import embeddings, exact, mixing, packing, pii, simhash, tokens, toxicity, warc
+from starweave.llm import embeddings, exact, mixing, packing, pii, simhash, substrings, tokens, toxicity, warc
 from starweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,34 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+@register(
+    "op5_substring_dedup",
+    r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    u AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS s, len(w) AS n FROM d),
+    k AS (
+      SELECT *, CASE WHEN s + 19 <= n THEN string_agg(word, ' ') OVER (
+               PARTITION BY doc_id ORDER BY s ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) END AS win
+      FROM u),
+    r AS (
+      SELECT *, CASE WHEN win IS NOT NULL AND row_number() OVER (PARTITION BY win ORDER BY doc_id, s) > 1
+               THEN 1 ELSE 0 END AS rep FROM k),
+    c AS (
+      SELECT *, max(rep) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM r),
+    a AS (
+      SELECT doc_id, count(*) AS n_words, sum(gone)::BIGINT AS n_removed,
+             string_agg(word, ' ' ORDER BY s) FILTER (gone = 0) AS kept
+      FROM c GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN a USING (doc_id)
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"), width=20)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @register("op6_token_counts")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary())

@@ -174,14 +174,14 @@ def simhash_dedup(
     text_col: str = "text",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(doc_id, *keep, fingerprint, component_id)`` per row of ``docs``.
+    """``(doc_id, *keep, fingerprint, component_id, group_fp)`` per row of ``docs``.
 
     Texts are lower-cased in A-Z and cut at the six ASCII white-space bytes;
     shingles are of ``shingle`` words, repeats counted; a text with fewer words
     is one shingle. Null and wordless texts have fingerprint zero and link like
     any other. ``component_id`` is the smallest non-null id that links of at
-    most ``most_bits`` bits reach, null if all ids there are. Repeated rows and
-    ids get a row each. Columns of ``docs`` other than ``keep`` are not read;
+    most ``most_bits`` bits reach, null if all ids there are; ``group_fp`` is a
+    fingerprint that names the group. Repeated rows and ids get a row each. Columns of ``docs`` other than ``keep`` are not read;
     an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keep, F.col(text_col).alias("text"))
@@ -190,9 +190,13 @@ def simhash_dedup(
     parts = connected_components(link_edges(firsts.select("fp"), most_bits), "simhash-links")
     named = firsts.join(parts, F.col("fp") == F.col("node"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = stored(named.join(least, "component").select("fp", "component_id"), "simhash-components")
-    known = firsts.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    named = stored(named.join(least, "component").select("fp", "component", "component_id"), "simhash-components")
+    alone = F.col("component").isNull()
+    known = firsts.join(named, "fp", "left").select(
+        "fp", F.when(alone, F.col("first")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("component", "fp").alias("group_fp"),
+    )
     known = stored(known, "simhash-classes")
     return found.join(known, "fp").select(
-        "doc_id", *keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", *keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "group_fp"
     )
