@@ -89,7 +89,8 @@ def _rolled(words: np.ndarray, width: int) -> np.ndarray:
 class Batch:
     """Texts in order of (id, text hash), and their windows in that order."""
 
-    rows: pa.Table
+    rows: pa.Table  # without repeats of a row
+    copies: np.ndarray  # of each row
     texts: pa.Array
     first: np.ndarray  # of each text, its first word; one more entry
     at: np.ndarray  # of each window, its first word
@@ -101,6 +102,12 @@ class Batch:
     @classmethod
     def of(cls, rows: pa.Table, width: int) -> Batch:
         rows = rows.sort_by([("order_id", "ascending"), ("text_hash", "ascending")])
+        order, key = (np.asarray(rows[c].combine_chunks()) for c in ("order_id", "text_hash"))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (order[1:] != order[:-1]) | (key[1:] != key[:-1])
+        copies = np.diff(np.append(np.flatnonzero(new), len(new)))
+        if not new.all():
+            rows = rows.filter(pa.array(new))
         texts = utf8(rows["text"])
         data, offsets = bytes_of(texts)
         starts, ends, first = words_of(data, offsets)
@@ -116,7 +123,7 @@ class Batch:
             less = other < least
             least[less] = other[less]
             place[less] = at[less] + j
-        return cls(rows, texts, first, at, least, place, word_hashes(data, starts, ends, 2), width)
+        return cls(rows, copies, texts, first, at, least, place, word_hashes(data, starts, ends, 2), width)
 
     def minimizers(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct minimizers, sorted, and whether each occurs at several places."""
@@ -273,7 +280,7 @@ def _remove(width: int, buckets: int):
         new[1:] = (np.diff(at) != 1) | (np.diff(own) != 0) | (np.diff(o) != 0) | (np.diff(t) != 0) | (np.diff(s) != 1)
         head = np.flatnonzero(new)
         last = np.append(head[1:], len(at)) - 1
-        spans: list[list] = [[] for _ in range(rows.num_rows)]
+        spans: list[list] = [[] for _ in range(len(batch.texts))]
         for h, e in zip(head, last):
             base = batch.first[own[h]]
             spans[own[h]].append((int(at[h] - base), int(at[e] - base) + width, int(o[h]), int(s[h])))
@@ -284,7 +291,8 @@ def _remove(width: int, buckets: int):
             left = b" ".join(compress(raw.split(), marks[lo:hi]))
             out.append((hi - lo, hi - lo - sum(marks[lo:hi]), left.decode("utf-8"), sha256(left).hexdigest(), spans[i]))
         made = _table({"n_words": pa.int64(), "n_removed": pa.int64(), "kept_text": pa.string(), "kept_sha256": pa.string(), "spans": _SPANS}, out)
-        return pa.table({"doc_id": batch.rows["doc_id"], **{n: made[n] for n in made.column_names}})
+        made = pa.table({"doc_id": batch.rows["doc_id"], **{n: made[n] for n in made.column_names}})
+        return made if (batch.copies == 1).all() else made.take(pa.array(np.repeat(np.arange(len(made)), batch.copies)))
 
     return run
 
