@@ -13,9 +13,6 @@ from starweave.operators.clean import (
 )
 from starweave.operators.joins import (
     anti_join,
-    broadcast_if_small,
-    broadcast_row_bound,
-    exceeds_rows,
     natural_key_join,
     not_in,
     orphans,
@@ -52,13 +49,10 @@ __all__ = [
     "append",
     "append_new",
     "assert_passed",
-    "broadcast_if_small",
-    "broadcast_row_bound",
     "column_type_ok",
     "dedupe",
     "dense_ids",
     "duplicate_keys",
-    "exceeds_rows",
     "distinct_rows",
     "drop_columns",
     "first_per_key",

@@ -18,61 +18,6 @@ from starweave.operators.clean import first_per_key
 
 JOIN_KINDS = ("inner", "left", "first_match")
 
-# Bounds for an explicitly checked broadcast: rows, and bytes estimated from
-# the schema's per-type default sizes.
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-def _width(dtype) -> int:
-    """Per-value byte estimate (Spark's default sizes; 20 for strings)."""
-    name = dtype.typeName()
-    return {"integer": 4, "date": 4, "float": 4, "short": 2, "byte": 1, "boolean": 1,
-            "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}.get(name, 20)
-
-
-def exceeds_rows(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has more than ``n`` rows, without counting it all.
-
-    ``offset(n).take(1)`` runs as a collect-limit: partitions are scanned a
-    few at a time (one, then more by ``spark.sql.limit.scaleUpFactor``) and
-    the scan stops once ``n + 1`` rows were seen. No column is read, only
-    zero-width rows are held by the driver JVM, and at most one row reaches
-    Python. (``limit(n + 1).count()`` instead plans a single-partition
-    exchange into which every map task writes up to ``n + 1`` rows.)
-    """
-    return len(df.select().offset(n).take(1)) > 0
-
-
-def broadcast_row_bound(
-    df: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-) -> int:
-    """Row bound for broadcasting ``df``: the smaller of ``max_rows`` and
-    ``max_bytes`` over the schema's estimated row width."""
-    width = max(1, sum(_width(f.dataType) for f in df.schema.fields))
-    return max(1, min(max_rows, max_bytes // width))
-
-
-def broadcast_if_small(
-    df: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-) -> DataFrame:
-    """Hint a broadcast only for a side whose size is checked to be bounded.
-
-    The check is ``exceeds_rows`` against ``broadcast_row_bound``; a side
-    over the bound is returned unchanged for a shuffled join (where AQE may
-    still broadcast it from its measured size). The check evaluates ``df``
-    up to its first ``bound + 1`` rows, so a side derived by a shuffle is
-    best gated by a cheap check of its inputs first (see
-    ``plans.music.build_songplays``).
-    """
-    if not exceeds_rows(df, broadcast_row_bound(df, max_rows, max_bytes)):
-        return F.broadcast(df)
-    return df
-
 
 def _key_frames(
     log: DataFrame,
@@ -136,14 +81,15 @@ def anti_join(
 ) -> DataFrame:
     """J6 (``ON CONFLICT DO NOTHING`` shape): rows whose key has no match.
 
-    The target side is reduced to its distinct keys first; that aggregate is
-    partitioned on the key, so the join reuses its exchange. With
+    Both sides reach the join straight from their exchanges (a repeated
+    target key drops no row twice, so the target is not made distinct first):
+    AQE can then split a key that holds a large share of ``df``. With
     ``null_safe`` a null key part matches a null (``<=>``), which makes a
     rerun of a load with nullable key columns idempotent; it is still an
     equi-join (hash or sort-merge), not a nested loop.
     """
     lk, rk, keys = _key_frames(df, target, on)
-    right = rk.select(*[F.col(k).alias(f"{k}_t") for k in keys]).distinct()
+    right = rk.select(*[F.col(k).alias(f"{k}_t") for k in keys])
     cond = None
     for k in keys:
         c = lk[k].eqNullSafe(right[f"{k}_t"]) if null_safe else lk[k] == right[f"{k}_t"]
@@ -154,23 +100,27 @@ def anti_join(
 def not_in(df: DataFrame, key: str, target: DataFrame, target_key: str) -> DataFrame:
     """``WHERE key NOT IN (SELECT target_key FROM target)``.
 
-    SQL's three-valued rule is kept: a null key on the left never qualifies,
-    and a single null in the target's keys makes the result empty. The null
-    test is a scalar subquery computed once, not a broadcast of the target.
+    SQL's three-valued rule is kept. Against an empty target every row
+    qualifies, one with a null key too; otherwise a null key never does, and
+    a single null in the target's keys makes the result empty. Both facts
+    about the target are scalar subqueries computed once, not a broadcast of
+    it; the anti join itself can be split where a key is hot.
     """
     tk = F.col(target_key)
-    has_null = target.select(F.count_if(tk.isNull()).alias("n")).scalar()
-    keys = target.select(tk.alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    kept = (
-        df.where(F.col(key).isNotNull())
-        .join(keys, F.col(key) == F.col("_k"), "left_anti")
-    )
-    return kept.where(has_null == F.lit(0)).select(*df.columns)
+    n_keys = target.select(F.count(F.lit(1)).alias("n")).scalar()
+    n_nulls = target.select(F.count_if(tk.isNull()).alias("n")).scalar()
+    keys = target.select(tk.alias("_k")).where(F.col("_k").isNotNull())
+    kept = df.join(keys, F.col(key) == F.col("_k"), "left_anti")
+    known = (n_nulls == F.lit(0)) & F.col(key).isNotNull()
+    return kept.where((n_keys == F.lit(0)) | known).select(*df.columns)
 
 
 def orphans(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:
-    """Fact rows whose non-null foreign key has no dimension row."""
-    keys = dim.select(F.col(pk).alias("_pk")).distinct()
+    """Fact rows whose non-null foreign key has no dimension row.
+
+    A foreign key that a large share of the fact holds is split by AQE.
+    """
+    keys = dim.select(F.col(pk).alias("_pk")).where(F.col("_pk").isNotNull())
     return (
         fact.where(F.col(fk).isNotNull())
         .join(keys, F.col(fk) == F.col("_pk"), "left_anti")

@@ -102,10 +102,14 @@ def append_new(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     stage: bool = True,
+    order_by: ColumnLike | Sequence[ColumnLike] | None = None,
+    max_touched: int = MAX_TOUCHED_PARTITIONS,
 ) -> str:
     """K5 made idempotent: append only rows whose key is not stored yet.
 
-    Keys compare null-safely, so rows with a null key part are not appended
+    A key the batch repeats is stored once, its first row by ``order_by`` and
+    then by the row itself, so the result does not depend on how rows are cut
+    into batches that arrive in that order. Keys compare null-safely, so rows with a null key part are not appended
     again by a rerun. With ``partition_by`` (directory partitions that are
     part of the key, e.g. the period of a fact) the stored table is written
     partitioned, and a batch is compared only with the stored partitions it
@@ -116,7 +120,7 @@ def append_new(
        and its lineage is cut, so a lost executor does not recompute it.
        Once the append has committed, the staged copy is truncated;
     2. the periods it touches are read from the staged partition columns
-       alone, checked to be at most ``MAX_TOUCHED_PARTITIONS`` and turned
+       alone, checked to be at most ``max_touched`` and turned
        into a static filter on the stored table's partition columns, which
        prunes the stored scan when it is planned. (A semi-join on the periods
        would not: dynamic pruning needs a selective filter on the batch.)
@@ -127,6 +131,7 @@ def append_new(
     """
     spark = df.sparkSession
     partition_by = list(partition_by)
+    df = first_per_key(df, list(keys), order_by if order_by is not None else [F.lit(0)])
     stored_schema = df.select(*[c for c in df.columns if c not in partition_by], *partition_by).schema
     current = read_if_exists(spark, path, fmt, schema=stored_schema)
     if current is None:
@@ -140,9 +145,9 @@ def append_new(
                                  rebalance=True)
             batch = spark.read.format(fmt).schema(stored_schema).load(staged).select(*df.columns)
         # one job gives both the bound check and the values: at most
-        # MAX_TOUCHED_PARTITIONS + 1 small rows reach the driver
-        touched = batch.select(*partition_by).distinct().take(MAX_TOUCHED_PARTITIONS + 1)
-        if len(touched) <= MAX_TOUCHED_PARTITIONS:
+        # max_touched + 1 small rows reach the driver
+        touched = batch.select(*partition_by).distinct().take(max_touched + 1)
+        if len(touched) <= max_touched:
             for i, name in enumerate(partition_by):
                 values = sorted({r[i] for r in touched if r[i] is not None})
                 cond = F.col(name).isin(values)

@@ -44,7 +44,7 @@ def warehouse_load(spark, sf_dir):
 def stream_append_new(spark, sf_dir):
     t = Tables(spark, sf_dir)
     landing = scratch_path(spark, "landing")
-    write_table(t.orders.repartition(8, "o_orderkey"), landing)
+    write_table(t.orders, landing, rebalance=True)
     # a late re-delivery of one period lands again as new files
     late = t.orders.where(F.year("o_orderdate") == F.lit(1998))
     write_table(late, landing, mode="append")
@@ -54,10 +54,10 @@ def stream_append_new(spark, sf_dir):
     # stored by order year: a batch is compared only with the years it touches
     years = {"year": F.year("o_orderdate")}
     incremental_load(spark, landing, schema, target, ["o_orderkey"], ["o_orderdate", "o_orderkey"],
-                     checkpoint, max_files_per_batch=3, partitions=years)
+                     checkpoint, partitions=years)
     # a second run resumes from the checkpoint: nothing new, nothing doubled
     incremental_load(spark, landing, schema, target, ["o_orderkey"], ["o_orderdate", "o_orderkey"],
-                     checkpoint, max_files_per_batch=3, partitions=years)
+                     checkpoint, partitions=years)
     return spark.read.parquet(target).select(*schema.fieldNames())
 
 

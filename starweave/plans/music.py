@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from starweave.functions.text import md5_key
 from starweave.functions.time import start_time, time_parts
 from starweave.operators.clean import dedupe, distinct_rows, first_per_key
-from starweave.operators.joins import broadcast_if_small, broadcast_row_bound, exceeds_rows, natural_key_join
+from starweave.operators.joins import natural_key_join
 from starweave.operators.loads import dense_ids, insert_absent, insert_not_in, upsert
 
 NEXT_SONG = "NextSong"
@@ -194,8 +194,9 @@ def build_songplays(
     * ``key_source=(dim, fk, pk)``: the log does not carry the natural key
       itself but a foreign key ``fk`` into ``dim`` that holds (song, artist,
       length). The song match is then computed once per ``dim`` row and the
-      log joins it on ``fk``: one shuffle of the log instead of two, and
-      none when the matched dimension passes the broadcast size check.
+      log joins it on ``fk``: one shuffle of the log instead of two, or
+      none where the planner or AQE broadcasts the matched dimension.
+      Building the frame starts no job.
     """
     plays = next_song(log, page_filter).withColumn("start_time", start_time("ts", precision))
     if key_source is None:
@@ -203,13 +204,6 @@ def build_songplays(
     else:
         dim, fk, pk = key_source
         matched = match_songs(dim, songs, how, rounded).drop(*[c for c in dim.columns if c != pk])
-        # Left and first-match keep every key-source row, so a key source over
-        # the bound means a matched side over it too. Checking the plain key
-        # source first means a large one never pays for evaluating the match
-        # just to learn it is too big (for inner joins AQE can still
-        # broadcast the measured side at run time).
-        if not exceeds_rows(dim, broadcast_row_bound(matched)):
-            matched = broadcast_if_small(matched)
         fact = plays.join(matched, plays[fk] == matched[pk], "inner").drop(matched[pk])
     wanted = {
         "start_time": "start_time",

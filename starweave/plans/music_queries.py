@@ -25,8 +25,8 @@ plays AS (
     WHERE l.l_linestatus = 'O'),
 songs AS (
     SELECT p_partkey AS song_id, p_name AS title, p_brand AS artist_id, p_brand AS artist_name,
-           p_retailprice AS duration
-    FROM part WHERE p_size <= 25)
+           CASE WHEN p_type <> 'PROMO' THEN p_retailprice END AS duration
+    FROM part)
 """
 
 SECONDS = "TIMESTAMP '1970-01-01 00:00:00' + to_seconds(ts // 1000)"
@@ -196,7 +196,7 @@ def time_dim_from_fact(spark, sf_dir):
 @register(
     "time_dim_day_sun1",
     """
-WITH s AS (SELECT DISTINCT CAST(ts AS DATE) AS start_time FROM events WHERE event_type = 'view')
+WITH s AS (SELECT DISTINCT CAST(ts AS DATE) AS start_time FROM events)
 SELECT start_time, 0 AS hour, CAST(day(start_time) AS INTEGER) AS day,
        CAST(week(start_time) AS INTEGER) AS week, CAST(month(start_time) AS INTEGER) AS month,
        CAST(year(start_time) AS INTEGER) AS year, CAST(dayofweek(start_time) + 1 AS INTEGER) AS weekday
@@ -206,8 +206,7 @@ FROM s
 )
 def time_dim_day_sun1(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    views = t.events.where(F.col("event_type") == "view")
-    days = views.select(millis_to_date(to_epoch_millis("ts")).alias("start_time"))
+    days = t.events.select(millis_to_date(to_epoch_millis("ts")).alias("start_time"))
     return build_time(days, weekday_base="sun1")
 
 
@@ -240,18 +239,10 @@ u AS (SELECT o_custkey AS user_id, o_orderstatus AS first_name, o_orderpriority
 
 USER_TARGET = """
 t AS (SELECT c_custkey AS user_id, c_name AS first_name, c_mktsegment AS level
-      FROM customer WHERE c_mktsegment <> 'BUILDING')
+      FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1995-05-06'))
 """
 
 
-def _user_target(t: Tables):
-    return t.customer.where(F.col("c_mktsegment") != "BUILDING").select(
-        F.col("c_custkey").alias("user_id"),
-        F.col("c_name").alias("first_name"),
-        F.col("c_mktsegment").alias("level"),
-    )
-
-
 @register(
     "users_first",
     f"""
@@ -303,7 +294,7 @@ WHERE f.user_id NOT IN (SELECT user_id FROM t)
 def users_upsert_level(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return build_users(roles.user_log(t), policy="upsert_level", order_by=["ts", "o_orderkey"],
-                       target=_user_target(t), page_filter=F.lit(True))
+                       target=roles.early_users(t), page_filter=F.lit(True))
 
 
 @register(
@@ -318,7 +309,7 @@ SELECT DISTINCT user_id, first_name, level FROM u WHERE user_id NOT IN (SELECT u
 )
 def users_absent_only(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return build_users(roles.user_log(t), policy="absent_only", target=_user_target(t),
+    return build_users(roles.user_log(t), policy="absent_only", target=roles.early_users(t),
                        page_filter=F.lit(True))
 
 
@@ -350,7 +341,7 @@ def users_upsert_direct(spark, sf_dir):
         "o_orderdate",
         "o_orderkey",
     )
-    return upsert(_user_target(t), updates, ["user_id"], ["level"], ["o_orderdate", "o_orderkey"])
+    return upsert(roles.early_users(t), updates, ["user_id"], ["level"], ["o_orderdate", "o_orderkey"])
 
 
 # ---------------------------------------------------------------------------
@@ -359,8 +350,9 @@ def users_upsert_direct(spark, sf_dir):
 
 SONG_ROWS = """
 s AS (SELECT p_partkey AS song_id, p_name AS title, p_brand AS artist_id, p_size AS year,
-             p_retailprice AS duration, p_brand AS name, p_type AS location, p_size
-      FROM part)
+             CASE WHEN p_type <> 'PROMO' THEN p_retailprice END AS duration, p_brand AS name, p_type AS location
+      FROM part),
+early AS (SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-02-21')
 """
 
 
@@ -370,7 +362,7 @@ s AS (SELECT p_partkey AS song_id, p_name AS title, p_brand AS artist_id, p_size
 WITH {SONG_ROWS}
 SELECT artist_id, name, location FROM (
     SELECT *, row_number() OVER (PARTITION BY artist_id ORDER BY name, location) AS rn
-    FROM s WHERE p_size <= 25) WHERE rn = 1
+    FROM s) WHERE rn = 1
 """,
     "C1 A6 K9 (first artist row wins)",
 )
@@ -383,7 +375,7 @@ def artists_first(spark, sf_dir):
     "artists_distinct",
     f"""
 WITH {SONG_ROWS}
-SELECT DISTINCT artist_id, name, location FROM s WHERE p_size <= 25
+SELECT DISTINCT artist_id, name, location FROM s
 """,
     "C1 A4",
 )
@@ -396,7 +388,7 @@ def artists_distinct(spark, sf_dir):
     "songs_not_in",
     f"""
 WITH {SONG_ROWS},
-t AS (SELECT song_id, title, artist_id, year, duration FROM s WHERE p_size <= 25)
+t AS (SELECT song_id, title, artist_id, year, duration FROM s WHERE song_id IN (SELECT l_partkey FROM early))
 SELECT * FROM t
 UNION ALL
 SELECT DISTINCT song_id, title, artist_id, year, duration FROM s
@@ -406,14 +398,8 @@ WHERE song_id NOT IN (SELECT song_id FROM t)
 )
 def songs_not_in(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    target = build_songs(roles.song_staging(t), policy="first")
-    batch = t.part.select(
-        F.col("p_partkey").alias("song_id"),
-        F.col("p_name").alias("title"),
-        F.col("p_brand").alias("artist_id"),
-        F.col("p_size").alias("year"),
-        F.col("p_retailprice").alias("duration"),
-    )
+    target = build_songs(roles.early_songs(t), policy="first")
+    batch = roles.song_staging(t).select(*target.columns)
     return insert_not_in(target, batch, "song_id")
 
 
@@ -421,7 +407,7 @@ def songs_not_in(spark, sf_dir):
     "songs_insert_absent",
     f"""
 WITH {SONG_ROWS},
-t AS (SELECT song_id, title, artist_id, year, duration FROM s WHERE p_size <= 25),
+t AS (SELECT song_id, title, artist_id, year, duration FROM s WHERE song_id IN (SELECT l_partkey FROM early)),
 b AS (SELECT * FROM (
         SELECT song_id, title, artist_id, year, duration,
                row_number() OVER (PARTITION BY title ORDER BY song_id) AS rn
@@ -435,14 +421,8 @@ WHERE song_id NOT IN (SELECT song_id FROM t)
 )
 def songs_insert_absent(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    target = build_songs(roles.song_staging(t), policy="first")
-    batch = t.part.select(
-        F.col("p_partkey").alias("song_id"),
-        F.col("p_name").alias("title"),
-        F.col("p_brand").alias("artist_id"),
-        F.col("p_size").alias("year"),
-        F.col("p_retailprice").alias("duration"),
-    )
+    target = build_songs(roles.early_songs(t), policy="first")
+    batch = roles.song_staging(t).select(*target.columns)
     # first song per title arrives first; then ON CONFLICT (song_id) DO NOTHING
     firsts = first_per_key(batch, ["title"], ["song_id"], keep="first")
     return insert_absent(target, firsts, ["song_id"], ["song_id"])
@@ -457,13 +437,13 @@ def songs_insert_absent(spark, sf_dir):
     "fact_sequence_key",
     """
 SELECT row_number() OVER (ORDER BY ts, event_id) - 1 AS songplay_id, event_id, ts, user_id, value
-FROM events WHERE event_type = 'purchase'
+FROM events
 """,
     "K14 (dense surrogate key from 0, IDENTITY(0,1))",
 )
 def fact_sequence_key(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    plays = t.events.where(F.col("event_type") == "purchase").select("event_id", "ts", "user_id", "value")
+    plays = t.events.select("event_id", "ts", "user_id", "value")
     return dense_ids(plays, ["ts", "event_id"], name="songplay_id", start=0)
 
 

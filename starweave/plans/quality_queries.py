@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from starweave.operators.quality import TableChecks, duplicate_keys, report, table_report
-from starweave.plans import roles
 from starweave.plans.music_queries import fact_left_md5
 from starweave.plans.registry import ORACLES, register
 from starweave.plans.roles import Tables
@@ -72,8 +71,8 @@ SELECT 'lineitem' AS table_name, 'l_orderkey' AS column_name, 'references=o_orde
        COUNT(*) AS value, COUNT(*) = 0 AS passed
 FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders)
 UNION ALL
-SELECT 'lineitem', 'l_partkey', 'references=song_id', COUNT(*), COUNT(*) = 0
-FROM lineitem WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25)
+SELECT 'documents', 'doc_id', 'references=doc_id', COUNT(*), COUNT(*) = 0
+FROM documents WHERE doc_id IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM labels)
 UNION ALL
 SELECT 'events', 'user_id', 'references=c_custkey', COUNT(*), COUNT(*) = 0
 FROM events WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_custkey FROM customer)
@@ -85,7 +84,7 @@ def dq_fk(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return report([], fks=[
         ("lineitem", t.lineitem, "l_orderkey", t.orders, "o_orderkey"),
-        ("lineitem", t.lineitem, "l_partkey", roles.song_staging(t), "song_id"),
+        ("documents", t.documents, "doc_id", t.labels, "doc_id"),
         ("events", t.events, "user_id", t.customer, "c_custkey"),
     ])
 

@@ -7,9 +7,9 @@ Role mapping (whole tables, no subsets):
   page = line status (``'O'`` plays the part of ``'NextSong'``), ts = ship
   time in epoch milliseconds, and a foreign key to the part played.
 * ``part`` holds the natural key of a play (song = name, artist = brand,
-  length = retail price) and, restricted to ``p_size <= 25``, is the song
-  metadata the plays are matched against; larger parts are songs missing
-  from the catalogue, so the left/inner/anti semantics show.
+  length = retail price) and is the song metadata the plays are matched
+  against. The catalogue has no duration for parts of type PROMO, so plays of
+  those find no song and the left/inner/anti semantics show.
 * ``events`` is a second log with microsecond timestamps (time conversions,
   sequence keys, keyed overwrite); ``orders`` is a log of users whose
   level (order priority) changes over time; ``customer`` is a users table.
@@ -25,7 +25,10 @@ from starweave.session import use_utc
 from starweave.sources.readers import load_table
 
 PLAY_PAGE = "O"
-SONG_MAX_SIZE = 25
+#: Parts of this type are in the catalogue without a duration.
+UNTIMED_TYPE = "PROMO"
+#: What was loaded before this day is the earlier period of the load queries.
+EARLY_SHIPMENTS, EARLY_ORDERS = "1995-02-21", "1995-05-06"
 
 
 class Tables:
@@ -79,18 +82,36 @@ def play_log_with_keys(t: Tables) -> DataFrame:
 
 
 def song_staging(t: Tables) -> DataFrame:
-    """part (p_size <= 25) in the song-metadata layout."""
-    return t.part.where(F.col("p_size") <= F.lit(SONG_MAX_SIZE)).select(
+    """part in the song-metadata layout."""
+    timed = F.when(F.col("p_type") != F.lit(UNTIMED_TYPE), F.col("p_retailprice"))
+    return t.part.select(
         F.col("p_partkey").alias("song_id"),
         F.col("p_name").alias("title"),
         F.col("p_brand").alias("artist_id"),
         F.col("p_brand").alias("artist_name"),
-        F.col("p_retailprice").alias("duration"),
+        timed.alias("duration"),
         F.col("p_size").alias("year"),
         F.col("p_type").alias("artist_location"),
     )
 
 
+def early_songs(t: Tables) -> DataFrame:
+    """The songs an earlier period loaded: those shipped by then."""
+    shipped = t.lineitem.where(F.col("l_shipdate") < F.lit(EARLY_SHIPMENTS).cast("timestamp_ntz"))
+    return song_staging(t).join(shipped.select(F.col("l_partkey").alias("song_id")), "song_id", "left_semi")
+
+
+def early_users(t: Tables) -> DataFrame:
+    """The users an earlier period loaded: customers who had ordered by then."""
+    ordered = t.orders.where(F.col("o_orderdate") < F.lit(EARLY_ORDERS).cast("timestamp_ntz"))
+    seen = t.customer.join(ordered.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
+    return seen.select(
+        F.col("c_custkey").alias("user_id"),
+        F.col("c_name").alias("first_name"),
+        F.col("c_mktsegment").alias("level"),
+    )
+
+
 def user_log(t: Tables) -> DataFrame:
     """orders as a users log: level = priority, name = status, ts = date."""
     return t.orders.select(

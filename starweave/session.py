@@ -78,12 +78,15 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (local tests) a
-    fresh folder under the local temp directory is created and registered.
+    Read from the session. Only a ``local`` master without one (tests, a
+    laptop) gets a fresh folder under the local temp directory; elsewhere
+    each executor would write to its own disk, so an unset folder is an error.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="starweave-ckpt-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():

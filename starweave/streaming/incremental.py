@@ -55,14 +55,13 @@ def incremental_load(
     batches = []
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        first = first_per_key(batch, list(keys), order_by, keep="first")
         if partitions:
-            dated = first.withColumns(dict(partitions))
-            # a micro-batch is a replayable scan of landed files: read it twice, do not stage it
-            append_new(dated, target, [*keys, *partitions], fmt=target_fmt, partition_by=list(partitions),
-                       stage=False)
+            # reduced to one row per key first, then staged once by append_new:
+            # its periods and the rows to append are both read from that copy
+            dated = first_per_key(batch, list(keys), order_by).withColumns(dict(partitions))
+            append_new(dated, target, [*keys, *partitions], fmt=target_fmt, partition_by=list(partitions))
         else:
-            append_new(first, target, list(keys), fmt=target_fmt)
+            append_new(batch, target, list(keys), fmt=target_fmt, order_by=order_by)
         batches.append(batch_id)
 
     query = (

@@ -178,15 +178,6 @@ def test_append_new_partitioned_prunes_untouched_periods(spark):
         (1, 2020, 1), (3, 2021, 1), (4, 2021, 1), (5, None, None)]
 
 
-def test_exceeds_rows_boundary(spark):
-    from starweave.operators import exceeds_rows
-
-    df = spark.range(0, 1000, numPartitions=7)
-    assert exceeds_rows(df, 999)
-    assert not exceeds_rows(df, 1000)
-    assert not exceeds_rows(df.where(F.col("id") < 0), 0)
-
-
 def test_dense_ids_independent_of_read_splits(spark):
     """The stored rows are read back in many small splits; ids stay dense and ordered."""
     from pyspark.sql import Window
@@ -267,28 +258,37 @@ def test_incremental_load_csv_landing_into_parquet(spark):
     assert sorted((r.k, r.year) for r in stored.collect()) == [(1, 2020), (2, 2020), (3, 2021), (4, 2021)]
 
 
-def test_broadcast_if_small_hints_only_within_the_bound(spark):
-    import contextlib
-    import io
+def test_not_in_empty_target_takes_null_keys(spark):
+    """SQL: against an empty set NOT IN is true, for a null key too."""
+    from starweave.operators.joins import not_in
 
-    from starweave.operators import broadcast_if_small
+    batch = spark.createDataFrame([(1,), (None,), (2,)], "k int")
+    empty = spark.createDataFrame([], "t int")
+    assert sorted(r.k or 0 for r in not_in(batch, "k", empty, "t").collect()) == [0, 1, 2]
+    target = spark.createDataFrame([(2,), (2,)], "t int")
+    assert [r.k for r in not_in(batch, "k", target, "t").collect()] == [1]
+    nulls = spark.createDataFrame([(2,), (None,)], "t int")
+    assert not_in(batch, "k", nulls, "t").count() == 0
 
-    def plan(df):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        return buf.getvalue()
 
-    big = spark.range(0, 5000).withColumnRenamed("id", "k")
-    dim = spark.range(0, 100).withColumnRenamed("id", "k")
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    old = {k: spark.conf.get(k) for k in keys}
-    for k in keys:
-        spark.conf.set(k, "-1")  # only an explicit hint can broadcast
-    try:
-        assert "BroadcastHashJoin" in plan(big.join(broadcast_if_small(dim, max_rows=100), "k"))
-        over = plan(big.join(broadcast_if_small(dim, max_rows=99), "k"))
-        assert "BroadcastHashJoin" not in over and "SortMergeJoin" in over
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
+def test_append_new_does_not_depend_on_batching(spark):
+    schema = "k int, v string"
+    rows = [(1, "a"), (1, "a"), (2, "b"), (2, "c"), (None, "d"), (None, "d")]
+    whole, cut = scratch_path(spark, "append-whole"), scratch_path(spark, "append-cut")
+    append_new(spark.createDataFrame(rows, schema), whole, ["k"])
+    for row in rows:
+        append_new(spark.createDataFrame([row], schema), cut, ["k"])
+    got = [sorted(map(tuple, spark.read.parquet(p).collect()), key=str) for p in (whole, cut)]
+    assert got[0] == got[1] == [(1, "a"), (2, "b"), (None, "d")]
+
+
+def test_checkpoint_folder_is_asked_for_off_local(spark):
+    import types
+
+    import pytest
+
+    from starweave.session import checkpoint_root
+
+    sc = types.SimpleNamespace(master="spark://host:7077", getConf=lambda: {}, getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError):
+        checkpoint_root(types.SimpleNamespace(sparkContext=sc))
