@@ -19,7 +19,7 @@ from starweave.plans.roles import Tables
 PLAYS = """
 plays AS (
     SELECT l.l_orderkey AS session_id, l.l_suppkey AS user_id, l.l_returnflag AS level,
-           epoch_us(l.l_shipdate) // 1000 AS ts,
+           epoch_us(l.l_shipdate) // 1000 AS ts, l.l_linenumber AS item,
            p.p_name AS song, p.p_brand AS artist, p.p_retailprice AS length
     FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
     WHERE l.l_linestatus = 'O'),

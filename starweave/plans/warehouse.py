@@ -3,13 +3,15 @@
 stage events and songs -> load the fact -> load the four dimensions (the
 time dimension reads the loaded fact) -> quality checks. Orchestration
 (schedules, retries) belongs to the caller's scheduler; the order here is
-only the data dependency. Every table is written to its own path under
-``dst``; staging is a truncate + load, so a rerun of the same period gives
-the same staging and, with ``fact_mode="append_new"``, the same fact.
+only the data dependency. Staging holds one period and is a truncate + load;
+dimensions keep what earlier periods loaded, each by its own mode, and are
+published as fresh versions (``operators.versions``), so a failed job leaves
+the version before it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +19,14 @@ from pyspark.sql import functions as F
 
 from starweave.operators.loads import append, append_new, truncate_insert
 from starweave.operators.quality import TableChecks, assert_passed, report
-from starweave.plans.music import build_artists, build_songplays, build_songs, build_time, build_users
+from starweave.operators.versions import current_path, publish, read_current
+from starweave.plans.music import build_artists, build_songplays, build_songs, build_time, build_users, next_song
+
+# How each dimension takes a period: ``insert_absent`` adds keys not stored
+# yet, ``upsert`` (users) also updates the level of stored ones, ``append``
+# adds all rows of the period, ``truncate`` keeps the period's rows only.
+DIM_MODES = {"users": "upsert", "songs": "insert_absent", "artists": "insert_absent", "time": "insert_absent"}
+MODES = ("insert_absent", "upsert", "append", "truncate")
 
 
 @dataclass
@@ -36,51 +45,82 @@ def load_warehouse(
     precision: str = "second",
     page_filter: Column | None = None,
     key_source: tuple[DataFrame, str, str] | None = None,
-    users_policy: str = "distinct",
+    dim_modes: Mapping[str, str] | None = None,
+    users_order=("ts",),
     weekday_base: str = "sun0",
     fact_mode: str = "append_new",
     on_failure: str = "report",
 ) -> WarehouseLoad:
-    """Stage, load fact, load dimensions, check. Returns written paths and the
-    check report (``on_failure="raise"`` raises on a failed check)."""
+    """Stage, load fact, load dimensions, check.
+
+    Returns the paths to read and the check report, which has been computed
+    (``on_failure="raise"`` raises on a failed check). Calls for successive
+    periods go to the same ``dst``.
+    """
+    modes = {**DIM_MODES, **(dim_modes or {})}
+    if set(modes) != set(DIM_MODES) or not set(modes.values()) <= set(MODES):
+        raise ValueError(f"dim_modes: {sorted(DIM_MODES)} by one of {MODES}")
+    if any(mode == "upsert" for name, mode in modes.items() if name != "users"):
+        raise ValueError("only users have an updated column")
     base = dst.rstrip("/")
-    paths = {name: f"{base}/{name}" for name in
-             ("staging_events", "staging_songs", "songplays", "users", "songs", "artists", "time")}
+    staging = {name: f"{base}/{name}" for name in ("staging_events", "staging_songs")}
+    fact_path = f"{base}/songplays"
+    dims = {name: f"{base}/{name}" for name in DIM_MODES}
 
     # stage (K7): delete all, then load
-    truncate_insert(events, paths["staging_events"])
-    truncate_insert(songs, paths["staging_songs"])
-    staged_events = spark.read.parquet(paths["staging_events"])
-    staged_songs = spark.read.parquet(paths["staging_songs"])
+    truncate_insert(events, staging["staging_events"])
+    truncate_insert(songs, staging["staging_songs"])
+    staged_events = spark.read.parquet(staging["staging_events"])
+    staged_songs = spark.read.parquet(staging["staging_songs"])
 
     # fact (K5): plain append as in the reference, or idempotent append
     fact = build_songplays(staged_events, staged_songs, how=how, key=key, precision=precision,
                            page_filter=page_filter, key_source=key_source)
     if fact_mode == "append":
-        append(fact, paths["songplays"])
+        append(fact, fact_path)
     elif fact_mode == "append_new":
         # the stored fact is partitioned by start year and month; a rerun or
         # the next hour compares only against the periods it touches
         dated = fact.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
-        append_new(dated, paths["songplays"], dated.columns, partition_by=["year", "month"])
+        append_new(dated, fact_path, dated.columns, partition_by=["year", "month"])
     else:
         raise ValueError("fact_mode must be append or append_new")
-    loaded_fact = spark.read.parquet(paths["songplays"]).select(*fact.columns)
+    loaded = spark.read.parquet(fact_path)
 
-    # dimensions (K6 truncate + insert); time reads the loaded fact
-    users = build_users(staged_events, policy=users_policy, page_filter=page_filter)
-    truncate_insert(users, paths["users"])
-    truncate_insert(build_songs(staged_songs, policy="first"), paths["songs"])
-    truncate_insert(build_artists(staged_songs, policy="first"), paths["artists"])
-    truncate_insert(build_time(loaded_fact, weekday_base=weekday_base), paths["time"])
+    # dimensions; time reads the loaded fact (S12), within the staged period only
+    ts = next_song(staged_events, page_filter).agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    if ts.lo is None:
+        period = loaded.limit(0)
+    else:
+        at = lambda ms: F.timestamp_millis(F.lit(ms)).cast("timestamp_ntz")
+        period = loaded.where(F.col("start_time").between(F.date_trunc("day", at(ts.lo)), at(ts.hi)))
+        if fact_mode == "append_new":
+            period = period.where(F.col("year").between(F.year(at(ts.lo)), F.year(at(ts.hi))))
+    for name, mode in modes.items():
+        stored = None if mode == "truncate" else read_current(spark, dims[name])
+        target = None if mode == "append" else stored
+        policy = "first" if mode == "insert_absent" else "distinct"
+        if name == "users":
+            policy = "upsert_level" if mode == "upsert" else policy
+            rows = build_users(staged_events, policy=policy, order_by=list(users_order), target=target,
+                               page_filter=page_filter)
+        elif name == "songs":
+            rows = build_songs(staged_songs, policy=policy, target=target)
+        elif name == "artists":
+            rows = build_artists(staged_songs, policy=policy, target=target)
+        else:
+            rows = build_time(period, weekday_base=weekday_base, target=target)
+        publish(stored.unionByName(rows) if mode == "append" and stored is not None else rows, dims[name])
+    paths = {**staging, "songplays": fact_path, **{n: current_path(spark, p) for n, p in dims.items()}}
 
-    # checks (Q6): one aggregate per table
-    checks = report([
-        TableChecks("users", spark.read.parquet(paths["users"]), key=["user_id"] if users_policy != "distinct" else ()),
-        TableChecks("songs", spark.read.parquet(paths["songs"]), key=["song_id"]),
-        TableChecks("artists", spark.read.parquet(paths["artists"]), key=["artist_id"]),
-        TableChecks("time", spark.read.parquet(paths["time"]), key=["start_time"]),
-    ])
+    # checks (Q6): one aggregate per table, and the fact's references
+    tables = {n: spark.read.parquet(paths[n]) for n in dims}
+    keys = {"users": "user_id", "songs": "song_id", "artists": "artist_id", "time": "start_time"}
+    specs = [TableChecks(n, tables[n], key=[k], unique=modes[n] in ("upsert", "insert_absent")) for n, k in keys.items()]
+    fks = [("songplays", loaded, k, tables[n], k) for n, k in keys.items()]
+    checks = report(specs, fks)
+    rows = checks.collect()  # a few rows per table
+    checks = spark.createDataFrame(rows, checks.schema)
     if on_failure == "raise":
         assert_passed(checks)
     return WarehouseLoad(paths, checks)
