@@ -31,7 +31,7 @@ def _two_periods(spark, sf_dir, again=False):
         result = load_warehouse(
             spark, events, songs, dst, how="left", page_filter=roles.play_filter(),
             key_source=(roles.song_keys(t), "l_partkey", "p_partkey"),
-            users_order=["ts", "sessionId", "itemInSession"],
+            users_order=["ts", "sessionId", "itemInSession"], optional=("firstName", "lastName", "gender"),
         )
     return result
 
@@ -42,7 +42,8 @@ WITH {PLAYS},
 f AS (SELECT *, {SECONDS} AS start_time FROM plays),
 fact AS (
   SELECT md5(CAST(f.session_id AS VARCHAR) || CAST(f.start_time AS VARCHAR)) AS songplay_id,
-         f.start_time, f.user_id, f.level, g.song_id, g.artist_id, f.session_id
+         f.start_time, f.user_id, f.level, g.song_id, g.artist_id, f.session_id,
+         f.location, f.user_agent
   FROM f LEFT JOIN songs g ON f.song = g.title AND f.artist = g.artist_name AND f.length = g.duration
     AND (f.ts >= {SECOND_PERIOD_MS} OR g.song_id IN (SELECT l_partkey FROM early))),
 users AS (
@@ -50,8 +51,9 @@ users AS (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, session_id DESC, item DESC) AS rn
     FROM plays) WHERE rn = 1),
 artists AS (
-  SELECT artist_id, name, location FROM (
-    SELECT *, row_number() OVER (PARTITION BY artist_id ORDER BY song_id NOT IN (SELECT l_partkey FROM early), name, location) AS rn
+  SELECT artist_id, name, location, latitude, longitude FROM (
+    SELECT *, row_number() OVER (PARTITION BY artist_id ORDER BY song_id NOT IN (SELECT l_partkey FROM early),
+             name, location, latitude, longitude) AS rn
     FROM s) WHERE rn = 1),
 times AS (SELECT DISTINCT start_time FROM f)
 """
@@ -77,7 +79,7 @@ def warehouse_users(spark, sf_dir):
     PERIODS
     + """
 SELECT 'songs' AS table_name, CAST(song_id AS VARCHAR) AS id, title AS a, artist_id AS b, CAST(year AS VARCHAR) AS c FROM s
-UNION ALL SELECT 'artists', artist_id, name, location, NULL FROM artists
+UNION ALL SELECT 'artists', artist_id, name, location, CAST(latitude AS VARCHAR) FROM artists
 UNION ALL SELECT 'time', CAST(start_time AS VARCHAR), CAST(hour(start_time) AS VARCHAR),
   CAST(week(start_time) AS VARCHAR), CAST(dayofweek(start_time) AS VARCHAR) FROM times
 """,
@@ -90,7 +92,7 @@ def warehouse_dims(spark, sf_dir):
     return (
         songs.select(F.lit("songs").alias("table_name"), text("song_id").alias("id"), F.col("title").alias("a"),
                      F.col("artist_id").alias("b"), text("year").alias("c"))
-        .union(artists.select(F.lit("artists"), "artist_id", "name", "location", F.lit(None).cast("string")))
+        .union(artists.select(F.lit("artists"), "artist_id", "name", "location", text("latitude")))
         .union(time.select(F.lit("time"), text("start_time"), text("hour"), text("week"), text("weekday")))
     )
 

@@ -17,6 +17,7 @@ from starweave.plans.registry import register
 from starweave.plans.roles import Tables
 from starweave.session import scratch_path
 from starweave.sources.readers import (
+    REJECTED,
     TEXT_OPTIONS,
     enforce_widths,
     read_csv,
@@ -27,7 +28,7 @@ from starweave.sources.readers import (
     templated_path,
     with_lineage,
 )
-from starweave.sources.schemas import create_all, struct, table_schema
+from starweave.sources.schemas import STAR_KEYS, WIDTHS, create_all, drop_all, struct, table_schema
 
 @register(
     "csv_quote_all",
@@ -40,7 +41,7 @@ def csv_quote_all(spark, sf_dir):
     t = Tables(spark, sf_dir)
     raw = scratch_path(spark, "event_csv")
     # many raw files, each with its own header line
-    write_table(t.events.repartition(8, "event_id"), raw, fmt="csv",
+    write_table(t.events.repartition("event_id"), raw, fmt="csv",
                 options={"header": "true", **TEXT_OPTIONS})
     merged = scratch_path(spark, "event_merged")
     merge_event_files(spark, raw, merged, ["event_id", "ts", "user_id", "event_type", "value"],
@@ -158,7 +159,8 @@ def csv_noheader(spark, sf_dir):
     t = Tables(spark, sf_dir)
     path = scratch_path(spark, "supplier_csv")
     write_table(t.supplier, path, fmt="csv", options={"header": "true"})
-    back = read_csv(spark, path, schema=table_schema("supplier"), header=False)
+    # the header line stays as a row; it does not fit the declared types
+    back = read_csv(spark, path, schema=table_schema("supplier"), header=False, on_error="null")
     # the header line came back as a row with null numbers; the key filter drops it
     kept = back.where(F.col("s_suppkey").isNotNull()).dropDuplicates(["s_suppkey"])
     return kept.withColumn("serial", to_double(split_item("s_name", "#", 1)))
@@ -281,11 +283,12 @@ def append_new_q(spark, sf_dir):
 WITH {PLAYS},
 f AS (SELECT *, {SECONDS} AS start_time FROM plays)
 SELECT md5(CAST(f.session_id AS VARCHAR) || CAST(f.start_time AS VARCHAR)) AS songplay_id,
-       f.start_time, f.user_id, f.level, s.song_id, s.artist_id, f.session_id
+       f.start_time, f.user_id, f.level, s.song_id, s.artist_id, f.session_id,
+       f.location, f.user_agent
 FROM f LEFT JOIN songs s
   ON f.song = s.title AND f.artist = s.artist_name AND f.length = s.duration
 """,
-    "K13 K6 S12 (create table if absent, insert by position, read by name)",
+    "K13 K6 S12 (typed tables with widths and NOT NULL keys: create, insert by position, read by name, drop)",
 )
 def catalog_insert_by_position(spark, sf_dir):
     import uuid
@@ -293,9 +296,32 @@ def catalog_insert_by_position(spark, sf_dir):
     fact = fact_left_md5(spark, sf_dir)
     name = f"songplays_{uuid.uuid4().hex[:12]}"
     location = scratch_path(spark, "catalog")
-    create_all(spark, {name: fact.schema}, location=location)
-    create_all(spark, {name: fact.schema}, location=location)  # idempotent
+    typed = dict(location=location, widths={name: WIDTHS["songplays"]}, keys={name: STAR_KEYS["songplays"]})
+    for _ in range(2):  # idempotent
+        create_all(spark, {name: fact.schema}, **typed)
     insert_by_position(fact, name)
-    return read_table(spark, name)
+    loaded = read_table(spark, name).schema
+    drop_all(spark, [name])  # the catalog entry; the files under location stay
+    return spark.read.schema(loaded).parquet(f"{location}/{name}")
+
+
+@register(
+    "json_rejects",
+    """
+SELECT doc_id, lang, source, n_chars, NULL AS rejected FROM documents WHERE source IS DISTINCT FROM 'src1'
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, substr('{"doc_id":' || CAST(doc_id AS VARCHAR) || ',"lang":"' || lang || '"', 1, 14)
+FROM documents WHERE source = 'src1'
+""",
+    "S4 S5 (broken lines go to the rejects, none becomes a row of nulls)",
+)
+def json_rejects(spark, sf_dir):
+    docs = Tables(spark, sf_dir).documents.drop("text")
+    whole = F.to_json(F.struct("doc_id", "lang", "source", "n_chars"))
+    line = F.when(F.col("source") == "src1", F.substring(whole, 1, 14)).otherwise(whole)
+    path = scratch_path(spark, "broken-lines")
+    docs.select(line.alias("value")).write.text(path)
+    read = read_json(spark, path, docs.schema, on_error="reject")
+    return read.select("doc_id", "lang", "source", "n_chars", F.col(REJECTED).alias("rejected"))
 
 

@@ -54,9 +54,29 @@ USER_COLUMNS = {
 }
 
 
-def _project(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Rename into the star layout; source columns a log lacks are skipped."""
-    return df.select([F.col(src).alias(dst) for dst, src in mapping.items() if src in df.columns])
+FACT_COLUMNS = {
+    "start_time": "start_time",
+    "user_id": "userId",
+    "level": "level",
+    "song_id": "song_id",
+    "artist_id": "artist_id",
+    "session_id": "sessionId",
+    "location": "location",
+    "user_agent": "userAgent",
+}
+
+
+def _layout(df: DataFrame, mapping: dict[str, str], optional: Sequence[str] = ()) -> list[Column]:
+    """The star columns; a source column that is absent must be named in ``optional``."""
+    absent = [src for src in mapping.values() if src not in df.columns and src not in optional]
+    if absent:
+        raise ValueError(f"source columns missing: {absent} (name them in optional to leave them out)")
+    return [F.col(src).alias(dst) for dst, src in mapping.items() if src in df.columns]
+
+
+def _project(df: DataFrame, mapping: dict[str, str], optional: Sequence[str] = ()) -> DataFrame:
+    """Rename into the star layout."""
+    return df.select(_layout(df, mapping, optional))
 
 
 def _dimension(
@@ -82,15 +102,19 @@ def _dimension(
     raise ValueError(f"unknown dimension policy {policy!r}")
 
 
-def build_songs(song_df: DataFrame, policy: str = "first", order_by=None, target=None) -> DataFrame:
+def build_songs(
+    song_df: DataFrame, policy: str = "first", order_by=None, target=None, optional: Sequence[str] = ()
+) -> DataFrame:
     """Songs dimension from song metadata."""
-    rows = _project(song_df, SONG_COLUMNS)
+    rows = _project(song_df, SONG_COLUMNS, optional)
     return _dimension(rows, "song_id", policy, order_by or ["song_id"], target)
 
 
-def build_artists(song_df: DataFrame, policy: str = "first", order_by=None, target=None) -> DataFrame:
+def build_artists(
+    song_df: DataFrame, policy: str = "first", order_by=None, target=None, optional: Sequence[str] = ()
+) -> DataFrame:
     """Artists dimension from song metadata."""
-    rows = _project(song_df, ARTIST_COLUMNS)
+    rows = _project(song_df, ARTIST_COLUMNS, optional)
     return _dimension(rows, "artist_id", policy, order_by or ["artist_id"], target)
 
 
@@ -105,6 +129,7 @@ def build_users(
     order_by=None,
     target: DataFrame | None = None,
     page_filter: Column | None = None,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """Users dimension from the plays of a log.
 
@@ -116,7 +141,7 @@ def build_users(
     """
     plays = next_song(log, page_filter)
     order_by = order_by or ["ts"]
-    user_cols = [F.col(src).alias(dst) for dst, src in USER_COLUMNS.items() if src in plays.columns]
+    user_cols = _layout(plays, USER_COLUMNS, optional)
     if policy in ("upsert_level", "first"):
         seq = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_by]).alias("_seq")
         ordered = plays.select(*user_cols, seq)
@@ -183,6 +208,7 @@ def build_songplays(
     key_source: tuple[DataFrame, str, str] | None = None,
     distinct: bool = False,
     id_start: int = 1,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """C4: the songplays fact.
 
@@ -205,17 +231,7 @@ def build_songplays(
         dim, fk, pk = key_source
         matched = match_songs(dim, songs, how, rounded).drop(*[c for c in dim.columns if c != pk])
         fact = plays.join(matched, plays[fk] == matched[pk], "inner").drop(matched[pk])
-    wanted = {
-        "start_time": "start_time",
-        "user_id": "userId",
-        "level": "level",
-        "song_id": "song_id",
-        "artist_id": "artist_id",
-        "session_id": "sessionId",
-        "location": "location",
-        "user_agent": "userAgent",
-    }
-    out = fact.select([F.col(src).alias(dst) for dst, src in wanted.items() if src in fact.columns])
+    out = _project(fact, FACT_COLUMNS, optional)
     if distinct:
         out = out.distinct()
     if key == "md5":

@@ -20,6 +20,7 @@ PLAYS = """
 plays AS (
     SELECT l.l_orderkey AS session_id, l.l_suppkey AS user_id, l.l_returnflag AS level,
            epoch_us(l.l_shipdate) // 1000 AS ts, l.l_linenumber AS item,
+           CAST(l.l_tax AS VARCHAR) AS location, CAST(l.l_discount AS VARCHAR) AS user_agent,
            p.p_name AS song, p.p_brand AS artist, p.p_retailprice AS length
     FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
     WHERE l.l_linestatus = 'O'),
@@ -50,7 +51,7 @@ def _songplays(spark, sf_dir, **kw):
 WITH {PLAYS},
 f AS (SELECT *, {SECONDS} AS start_time FROM plays)
 SELECT md5(CAST(f.session_id AS VARCHAR) || CAST(f.start_time AS VARCHAR)) AS songplay_id,
-       f.start_time, f.user_id, f.level, s.song_id, s.artist_id, f.session_id
+       f.start_time, f.user_id, f.level, s.song_id, s.artist_id, f.session_id, f.location, f.user_agent
 FROM f LEFT JOIN songs s
   ON f.song = s.title AND f.artist = s.artist_name AND f.length = s.duration
 """,
@@ -65,7 +66,7 @@ def fact_left_md5(spark, sf_dir):
     f"""
 WITH {PLAYS},
 f AS (SELECT *, {MILLIS} AS start_time FROM plays)
-SELECT f.start_time, f.user_id, f.level, s.song_id, s.artist_id, f.session_id
+SELECT f.start_time, f.user_id, f.level, s.song_id, s.artist_id, f.session_id, f.location, f.user_agent
 FROM f JOIN songs s
   ON f.artist = s.artist_name AND f.song = s.title AND f.length = s.duration
 """,
@@ -80,7 +81,7 @@ def fact_inner_3key(spark, sf_dir):
     f"""
 WITH {PLAYS},
 f AS (SELECT *, {MILLIS} AS start_time FROM plays)
-SELECT f.start_time, f.user_id, f.level, s.song_id, s.artist_id, f.session_id
+SELECT f.start_time, f.user_id, f.level, s.song_id, s.artist_id, f.session_id, f.location, f.user_agent
 FROM f JOIN songs s
   ON f.artist = s.artist_name AND f.song = s.title AND f.length = s.duration
 """,
@@ -103,10 +104,10 @@ def fact_inner_3key_direct(spark, sf_dir):
     f"""
 WITH {PLAYS},
 f AS (SELECT DISTINCT {SECONDS} AS start_time, p.user_id, p.level, s.song_id, s.artist_id,
-             p.session_id
+             p.session_id, p.location, p.user_agent
       FROM plays p JOIN songs s
         ON p.artist = s.artist_name AND p.song = s.title AND p.length = s.duration)
-SELECT row_number() OVER (ORDER BY start_time, user_id, level, song_id, artist_id, session_id) - 1
+SELECT row_number() OVER (ORDER BY start_time, user_id, level, song_id, artist_id, session_id, location, user_agent) - 1
          AS songplay_id, *
 FROM f
 """,
@@ -127,7 +128,7 @@ first_song AS (
                                      ORDER BY song_id, artist_id) AS rn
         FROM songs) WHERE rn = 1),
 f AS (SELECT *, {MILLIS} AS start_time FROM plays)
-SELECT f.start_time, f.user_id, f.level, s.song_id, s.artist_id, f.session_id
+SELECT f.start_time, f.user_id, f.level, s.song_id, s.artist_id, f.session_id, f.location, f.user_agent
 FROM f LEFT JOIN first_song s
   ON f.song = s.title AND f.artist = s.artist_name AND f.length = s.duration
 """,
@@ -143,7 +144,7 @@ def fact_lookup_first(spark, sf_dir):
 WITH {PLAYS},
 f AS (SELECT *, {SECONDS} AS start_time FROM plays)
 SELECT md5(CAST(f.session_id AS VARCHAR) || CAST(f.start_time AS VARCHAR)) AS songplay_id,
-       f.start_time, f.user_id, f.level, s.song_id, s.artist_id, f.session_id
+       f.start_time, f.user_id, f.level, s.song_id, s.artist_id, f.session_id, f.location, f.user_agent
 FROM f LEFT JOIN songs s
   ON f.song = s.title AND f.artist = s.artist_name
  AND CAST(f.length AS DECIMAL(18,0)) = CAST(s.duration AS DECIMAL(18,0))
@@ -233,12 +234,14 @@ def time_dim_insert_absent(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 USER_ROWS = """
-u AS (SELECT o_custkey AS user_id, o_orderstatus AS first_name, o_orderpriority AS level,
+u AS (SELECT o_custkey AS user_id, o_orderstatus AS first_name, CAST(year(o_orderdate) AS VARCHAR) AS last_name,
+             CAST(month(o_orderdate) AS VARCHAR) AS gender, o_orderpriority AS level,
              o_orderdate, o_orderkey FROM orders)
 """
 
 USER_TARGET = """
-t AS (SELECT c_custkey AS user_id, c_name AS first_name, c_mktsegment AS level
+t AS (SELECT c_custkey AS user_id, c_name AS first_name, CAST(c_nationkey AS VARCHAR) AS last_name,
+             CASE WHEN c_acctbal < 0 THEN 'M' ELSE 'F' END AS gender, c_mktsegment AS level
       FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1995-05-06'))
 """
 
@@ -247,7 +250,7 @@ t AS (SELECT c_custkey AS user_id, c_name AS first_name, c_mktsegment AS level
     "users_first",
     f"""
 WITH {USER_ROWS}
-SELECT user_id, first_name, level FROM (
+SELECT user_id, first_name, last_name, gender, level FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY o_orderdate, o_orderkey) AS rn FROM u)
 WHERE rn = 1
 """,
@@ -263,7 +266,7 @@ def users_first(spark, sf_dir):
     "users_distinct",
     f"""
 WITH {USER_ROWS}
-SELECT DISTINCT user_id, first_name, level FROM u
+SELECT DISTINCT user_id, first_name, last_name, gender, level FROM u
 """,
     "C2 A4 (SELECT DISTINCT)",
 )
@@ -279,13 +282,13 @@ WITH {USER_ROWS}, {USER_TARGET},
 last_u AS (SELECT user_id, level FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
     FROM u) WHERE rn = 1),
-first_u AS (SELECT user_id, first_name FROM (
+first_u AS (SELECT user_id, first_name, last_name, gender FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY o_orderdate, o_orderkey) AS rn
     FROM u) WHERE rn = 1)
-SELECT t.user_id, t.first_name, COALESCE(l.level, t.level) AS level
+SELECT t.user_id, t.first_name, t.last_name, t.gender, COALESCE(l.level, t.level) AS level
 FROM t LEFT JOIN last_u l ON t.user_id = l.user_id
 UNION ALL
-SELECT f.user_id, f.first_name, l.level
+SELECT f.user_id, f.first_name, f.last_name, f.gender, l.level
 FROM first_u f JOIN last_u l ON f.user_id = l.user_id
 WHERE f.user_id NOT IN (SELECT user_id FROM t)
 """,
@@ -303,7 +306,7 @@ def users_upsert_level(spark, sf_dir):
 WITH {USER_ROWS}, {USER_TARGET}
 SELECT * FROM t
 UNION ALL
-SELECT DISTINCT user_id, first_name, level FROM u WHERE user_id NOT IN (SELECT user_id FROM t)
+SELECT DISTINCT user_id, first_name, last_name, gender, level FROM u WHERE user_id NOT IN (SELECT user_id FROM t)
 """,
     "C2 K10 F11 J6 (INSERT ... WHERE key NOT IN target)",
 )
@@ -320,13 +323,13 @@ WITH {USER_ROWS}, {USER_TARGET},
 last_u AS (SELECT user_id, level FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
     FROM u) WHERE rn = 1),
-first_u AS (SELECT user_id, first_name FROM (
+first_u AS (SELECT user_id, first_name, last_name, gender FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY o_orderdate, o_orderkey) AS rn
     FROM u) WHERE rn = 1)
-SELECT t.user_id, t.first_name, COALESCE(l.level, t.level) AS level
+SELECT t.user_id, t.first_name, t.last_name, t.gender, COALESCE(l.level, t.level) AS level
 FROM t LEFT JOIN last_u l ON t.user_id = l.user_id
 UNION ALL
-SELECT f.user_id, f.first_name, l.level
+SELECT f.user_id, f.first_name, f.last_name, f.gender, l.level
 FROM first_u f JOIN last_u l ON f.user_id = l.user_id
 WHERE f.user_id NOT IN (SELECT user_id FROM t)
 """,
@@ -337,6 +340,8 @@ def users_upsert_direct(spark, sf_dir):
     updates = t.orders.select(
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderstatus").alias("first_name"),
+        F.year("o_orderdate").cast("string").alias("last_name"),
+        F.month("o_orderdate").cast("string").alias("gender"),
         F.col("o_orderpriority").alias("level"),
         "o_orderdate",
         "o_orderkey",
@@ -350,7 +355,8 @@ def users_upsert_direct(spark, sf_dir):
 
 SONG_ROWS = """
 s AS (SELECT p_partkey AS song_id, p_name AS title, p_brand AS artist_id, p_size AS year,
-             CASE WHEN p_type <> 'PROMO' THEN p_retailprice END AS duration, p_brand AS name, p_type AS location
+             CASE WHEN p_type <> 'PROMO' THEN p_retailprice END AS duration, p_brand AS name, p_type AS location,
+             CAST(p_size AS DOUBLE) AS latitude, CAST(-p_size AS DOUBLE) AS longitude
       FROM part),
 early AS (SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-02-21')
 """
@@ -360,8 +366,8 @@ early AS (SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-02-2
     "artists_first",
     f"""
 WITH {SONG_ROWS}
-SELECT artist_id, name, location FROM (
-    SELECT *, row_number() OVER (PARTITION BY artist_id ORDER BY name, location) AS rn
+SELECT artist_id, name, location, latitude, longitude FROM (
+    SELECT *, row_number() OVER (PARTITION BY artist_id ORDER BY name, location, latitude, longitude) AS rn
     FROM s) WHERE rn = 1
 """,
     "C1 A6 K9 (first artist row wins)",
@@ -375,7 +381,7 @@ def artists_first(spark, sf_dir):
     "artists_distinct",
     f"""
 WITH {SONG_ROWS}
-SELECT DISTINCT artist_id, name, location FROM s
+SELECT DISTINCT artist_id, name, location, latitude, longitude FROM s
 """,
     "C1 A4",
 )

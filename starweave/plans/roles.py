@@ -5,7 +5,8 @@ Role mapping (whole tables, no subsets):
 * ``lineitem`` is the activity log: one play per line, session = order key,
   item in session = line number, user = supplier key, level = return flag,
   page = line status (``'O'`` plays the part of ``'NextSong'``), ts = ship
-  time in epoch milliseconds, and a foreign key to the part played.
+  time in epoch milliseconds, location = tax, user agent = discount, and a
+  foreign key to the part played.
 * ``part`` holds the natural key of a play (song = name, artist = brand,
   length = retail price) and is the song metadata the plays are matched
   against. The catalogue has no duration for parts of type PROMO, so plays of
@@ -56,6 +57,8 @@ def play_log(t: Tables) -> DataFrame:
         F.col("l_returnflag").alias("level"),
         F.col("l_linestatus").alias("page"),
         to_epoch_millis("l_shipdate").alias("ts"),
+        F.col("l_tax").cast("string").alias("location"),
+        F.col("l_discount").cast("string").alias("userAgent"),
         F.col("l_partkey"),
     )
 
@@ -92,6 +95,8 @@ def song_staging(t: Tables) -> DataFrame:
         timed.alias("duration"),
         F.col("p_size").alias("year"),
         F.col("p_type").alias("artist_location"),
+        F.col("p_size").cast("double").alias("artist_latitude"),
+        (F.lit(0) - F.col("p_size")).cast("double").alias("artist_longitude"),
     )
 
 
@@ -108,6 +113,8 @@ def early_users(t: Tables) -> DataFrame:
     return seen.select(
         F.col("c_custkey").alias("user_id"),
         F.col("c_name").alias("first_name"),
+        F.col("c_nationkey").cast("string").alias("last_name"),
+        F.when(F.col("c_acctbal") < 0, "M").otherwise("F").alias("gender"),
         F.col("c_mktsegment").alias("level"),
     )
 
@@ -117,6 +124,8 @@ def user_log(t: Tables) -> DataFrame:
     return t.orders.select(
         F.col("o_custkey").alias("userId"),
         F.col("o_orderstatus").alias("firstName"),
+        F.year("o_orderdate").cast("string").alias("lastName"),
+        F.month("o_orderdate").cast("string").alias("gender"),
         F.col("o_orderpriority").alias("level"),
         F.col("o_orderdate").alias("ts"),
         F.col("o_orderkey"),

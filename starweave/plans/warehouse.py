@@ -50,12 +50,14 @@ def load_warehouse(
     weekday_base: str = "sun0",
     fact_mode: str = "append_new",
     on_failure: str = "report",
+    optional: tuple[str, ...] = (),
 ) -> WarehouseLoad:
     """Stage, load fact, load dimensions, check.
 
     Returns the paths to read and the check report, which has been computed
     (``on_failure="raise"`` raises on a failed check). Calls for successive
-    periods go to the same ``dst``.
+    periods go to the same ``dst``. Source columns named in ``optional`` may
+    be absent; any other absent column is an error.
     """
     modes = {**DIM_MODES, **(dim_modes or {})}
     if set(modes) != set(DIM_MODES) or not set(modes.values()) <= set(MODES):
@@ -75,7 +77,7 @@ def load_warehouse(
 
     # fact (K5): plain append as in the reference, or idempotent append
     fact = build_songplays(staged_events, staged_songs, how=how, key=key, precision=precision,
-                           page_filter=page_filter, key_source=key_source)
+                           page_filter=page_filter, key_source=key_source, optional=optional)
     if fact_mode == "append":
         append(fact, fact_path)
     elif fact_mode == "append_new":
@@ -103,11 +105,11 @@ def load_warehouse(
         if name == "users":
             policy = "upsert_level" if mode == "upsert" else policy
             rows = build_users(staged_events, policy=policy, order_by=list(users_order), target=target,
-                               page_filter=page_filter)
+                               page_filter=page_filter, optional=optional)
         elif name == "songs":
-            rows = build_songs(staged_songs, policy=policy, target=target)
+            rows = build_songs(staged_songs, policy=policy, target=target, optional=optional)
         elif name == "artists":
-            rows = build_artists(staged_songs, policy=policy, target=target)
+            rows = build_artists(staged_songs, policy=policy, target=target, optional=optional)
         else:
             rows = build_time(period, weekday_base=weekday_base, target=target)
         publish(stored.unionByName(rows) if mode == "append" and stored is not None else rows, dims[name])

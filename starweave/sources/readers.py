@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,8 +18,21 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 TEXT_OPTIONS = {"timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_FORMAT}
 
 
-def _reader(spark: SparkSession, schema, recursive: bool, glob_filter: str | None, options):
-    r = spark.read
+#: Text of a record that does not fit the schema, with ``on_error="reject"``.
+REJECTED = "_rejected"
+MODES = {"fail": "FAILFAST", "null": "PERMISSIVE", "reject": "PERMISSIVE"}
+
+
+def _reader(spark: SparkSession, schema, recursive: bool, glob_filter: str | None, options, on_error: str):
+    """``on_error``: what a malformed record does. ``fail`` ends the read (a load
+    without an error allowance), ``null`` keeps it with nulls, ``reject`` keeps
+    its text in the column ``_rejected``, which is null for sound records."""
+    if on_error not in MODES:
+        raise ValueError(f"on_error: one of {sorted(MODES)}")
+    r = spark.read.option("mode", MODES[on_error])
+    if on_error == "reject":
+        schema = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+        r = r.option("columnNameOfCorruptRecord", REJECTED)
     if schema is not None:
         r = r.schema(schema)
     if recursive:
@@ -41,13 +54,15 @@ def read_json(
     recursive: bool = False,
     glob_filter: str | None = None,
     options: Mapping[str, str] | None = None,
+    on_error: str = "fail",
 ) -> DataFrame:
     """JSON lines under a path, glob or nested directories.
 
     Field names match case-insensitively (``'auto'`` by-name load);
     ``recursive`` + ``glob_filter="*.json"`` replaces a directory walk.
+    ``on_error``: fail, null or reject (see ``_reader``).
     """
-    r = _reader(spark, schema, recursive, glob_filter, options)
+    r = _reader(spark, schema, recursive, glob_filter, options, on_error)
     return r.json(paths if isinstance(paths, str) else list(paths))
 
 
@@ -57,14 +72,17 @@ def read_json_mapped(
     mapping: Sequence[tuple[str, str, str]],
     raw_schema: T.StructType | None = None,
     options: Mapping[str, str] | None = None,
+    on_error: str = "fail",
 ) -> DataFrame:
     """Load JSON through an ordered field mapping ``(field, column, type)``.
 
     Only mapped fields are read. Without ``raw_schema`` each top-level field
     is declared as a string; pass a nested ``raw_schema`` to map dotted paths
-    such as ``song.title``. Each value is cast with ``try_cast``, so a
-    malformed value becomes null instead of failing the load.
+    such as ``song.title``. ``on_error="fail"`` ends the load on a broken line
+    or a value that does not cast; ``"null"`` makes them null.
     """
+    if on_error not in ("fail", "null"):
+        raise ValueError("on_error: fail or null")
     if raw_schema is None:
         raw_schema = T.StructType()
         for field, _, _ in mapping:
@@ -72,9 +90,18 @@ def read_json_mapped(
                 raise ValueError(f"dotted field {field!r} needs a nested raw_schema")
             if field not in raw_schema.fieldNames():
                 raw_schema.add(field, T.StringType())
-    r = _reader(spark, raw_schema, False, None, options)
+    r = _reader(spark, raw_schema, False, None, options, on_error)
     df = r.json(paths if isinstance(paths, str) else list(paths))
-    return df.select([F.col(f).try_cast(t).alias(c) for f, c, t in mapping])
+
+    def value(field: str, kind: str) -> Column:
+        cast = F.col(field).try_cast(kind)
+        if on_error == "null":
+            return cast
+        bad = F.col(field).isNotNull() & cast.isNull()
+        message = F.concat(F.lit(f"{field} is not a {kind}: "), F.col(field).cast("string"))
+        return F.when(bad, F.raise_error(message)).otherwise(cast)
+
+    return df.select([value(f, t).alias(c) for f, c, t in mapping])
 
 
 def read_csv(
@@ -85,14 +112,15 @@ def read_csv(
     sep: str = ",",
     multiline: bool = False,
     options: Mapping[str, str] | None = None,
+    on_error: str = "fail",
 ) -> DataFrame:
     """CSV with or without header, any delimiter, many files.
 
     With a declared schema columns are named by position from the schema
     (S8). ``header=False`` keeps a header line as a data row (S9). Without a
-    schema every column is a string (S7).
+    schema every column is a string (S7). ``on_error`` as in ``read_json``.
     """
-    r = _reader(spark, schema, False, None, options)
+    r = _reader(spark, schema, False, None, options, on_error)
     r = r.option("header", str(header).lower()).option("sep", sep)
     if multiline:
         r = r.option("multiLine", "true").option("escape", '"')

@@ -7,7 +7,8 @@ and the field mapping of the mapped JSON load (S4).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from types import MappingProxyType
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -179,23 +180,37 @@ TEMPERATURE = struct(
 # --- K13: create / drop from typed definitions ---------------------------------
 
 
-def ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+def ddl(schema: T.StructType, widths: Mapping[str, int] = MappingProxyType({}), keys: Sequence[str] = ()) -> str:
+    """Column definitions: types, ``varchar(n)`` for the widths given, NOT NULL for keys."""
+
+    def column(f: T.StructField) -> str:
+        text = isinstance(f.dataType, T.StringType) and f.name in widths
+        kind = f"varchar({widths[f.name]})" if text else f.dataType.simpleString()
+        return f"`{f.name}` {kind}{' NOT NULL' if f.name in keys else ''}"
+
+    return ", ".join(map(column, schema.fields))
 
 
 def create_all(
     spark: SparkSession,
     schemas: Mapping[str, T.StructType],
     location: str | None = None,
+    widths: Mapping[str, Mapping[str, int]] | None = None,
+    keys: Mapping[str, Sequence[str]] | None = None,
 ) -> list[str]:
     """``CREATE TABLE IF NOT EXISTS ... USING parquet`` for each schema.
 
     Idempotent. With ``location`` each table lives under ``location/name``.
+    ``widths`` (table -> column -> n) makes text columns ``varchar(n)``, which
+    an insert of a longer value violates; ``keys`` (table -> columns) declares
+    key columns NOT NULL. A parquet table has no unique keys; the quality
+    checks look for repeats.
     """
     done = []
     for name, schema in schemas.items():
         where = f" LOCATION '{location.rstrip('/')}/{name}'" if location else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({ddl(schema)}) USING parquet{where}")
+        columns = ddl(schema, (widths or {}).get(name, {}), (keys or {}).get(name, ()))
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING parquet{where}")
         done.append(name)
     return done
 

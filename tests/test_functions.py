@@ -147,10 +147,36 @@ def test_readers(spark):
         [("A", "NextSong", 1541106106796, "12", "x"), ("B", "Home", 1541106106797, "bad", "y")],
         "artist string, page string, ts bigint, userId string, song string",
     ).coalesce(1).write.json(templated_path("{p}/2018/11", p=path))
-    back = read_json_mapped(spark, path + "/2018/11", LOG_MAPPING)
+    with pytest.raises(Exception, match="userId is not a int"):
+        read_json_mapped(spark, path + "/2018/11", LOG_MAPPING).collect()
+    back = read_json_mapped(spark, path + "/2018/11", LOG_MAPPING, on_error="null")
     assert back.columns == [c for _, c, _ in LOG_MAPPING]
     assert sorted((r.artist, r.userid) for r in back.collect()) == [("A", 12), ("B", None)]
     nested = read_json(spark, path, T.StructType([T.StructField("artist", T.StringType())]), recursive=True,
                        glob_filter="*.json")
     files = {r.source_file.rsplit("/", 3)[-3] for r in with_lineage(nested).collect()}
     assert files == {"2018"}
+
+
+def test_reader_error_modes(spark):
+    from pyspark.sql import types as T
+
+    from starweave.session import scratch_path
+    from starweave.sources.readers import REJECTED, read_csv, read_json
+
+    path = scratch_path(spark, "broken")
+    lines = ['{"k": 1, "v": "a"}', '{"k": 2, "v', '{"k": "x", "v": "b"}', "{}"]
+    spark.createDataFrame([(line,) for line in lines], "value string").write.text(path)
+    with pytest.raises(Exception, match="(?i)malformed|FAILED_READ_FILE"):
+        read_json(spark, path, T.StructType.fromDDL("k int, v string")).collect()
+    kept = read_json(spark, path, T.StructType.fromDDL("k int, v string"), on_error="null")
+    assert kept.count() == 4
+    split = read_json(spark, path, T.StructType.fromDDL("k int, v string"), on_error="reject").collect()
+    assert sorted(r[REJECTED] for r in split if r[REJECTED]) == sorted([lines[1], lines[2]])
+    assert {(r.k, r.v) for r in split if r[REJECTED] is None} == {(1, "a"), (None, None)}
+    path = scratch_path(spark, "broken-csv")
+    spark.createDataFrame([("1,a",), ("z,b",)], "value string").write.text(path)
+    with pytest.raises(Exception, match="(?i)malformed|FAILED_READ_FILE"):
+        read_csv(spark, path, T.StructType.fromDDL("k int, v string"), header=False).collect()
+    split = read_csv(spark, path, T.StructType.fromDDL("k int, v string"), header=False, on_error="reject").collect()
+    assert {(r.k, r[REJECTED]) for r in split} == {(1, None), (None, "z,b")}

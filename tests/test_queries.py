@@ -44,7 +44,8 @@ def test_entry_smoke(spark):
     from __spark_entry__ import entry
 
     df = entry(spark)
-    assert df.columns == ["songplay_id", "start_time", "user_id", "level", "song_id", "artist_id", "session_id"]
+    assert df.columns == ["songplay_id", "start_time", "user_id", "level", "song_id", "artist_id", "session_id",
+                          "location", "user_agent"]
     assert df.count() > 0
 
 
