@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from starweave.session import scratch_path
 
@@ -29,6 +30,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sampled(df: DataFrame, turn: Column, most: int, rows: int | None = None, spare: float = 4.0) -> DataFrame:
+    """At most ``most`` rows of ``df``, the same in every run: those whose hash ``turn`` is smallest.
+
+    Rows are first thinned to about ``spare * most`` by their hash (``rows`` is
+    the row count, counted if not given), so what meets in one task to be
+    ordered is bounded whatever the input. ``turn`` is a signed 64-bit hash.
+    """
+    rows = df.count() if rows is None else rows
+    share = min(1.0, spare * most / max(1, rows))
+    if share < 1:
+        df = df.where(turn < F.lit(int(-(2**63) + share * 2**64)))
+    return df.orderBy(turn).limit(most)
+
+
 def utf8(column: pa.Array) -> pa.Array:
     """The column as binary, nulls as empty."""
     if isinstance(column, pa.ChunkedArray):

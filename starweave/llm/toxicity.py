@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from starweave.llm.common import bytes_of, mixed, pieces, stored, utf8
+from starweave.llm.common import bytes_of, mixed, pieces, sampled, stored, utf8
 
 #: Hashed features, and labelled rows that are learned from at most.
 SIZE, SAMPLE = 1 << 18, 10_000
@@ -219,7 +219,8 @@ def train(
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic"))
     known = known.where(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.max("toxic").alias("toxic"))
-    known = stored(known.orderBy(F.xxhash64(F.lit("toxicity"), "id"), "id").limit(sample), "toxicity-labels")
+    known = stored(known, "toxicity-known")
+    known = stored(sampled(known, F.xxhash64(F.lit("toxicity"), "id"), sample), "toxicity-labels")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     chosen = texts.join(known, "id").select("toxic", "text")
     rows = stored(chosen.mapInArrow(_featurise, "toxic int, own binary, swap binary"), "toxicity-features")
