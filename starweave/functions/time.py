@@ -44,7 +44,7 @@ def millis_to_second(ms: Column | str, ntz: bool = True) -> Column:
     The division is on integers, so it truncates towards zero; the result has
     whole seconds.
     """
-    secs = (_c(ms) / F.lit(1000)).cast("long")
+    secs = F.call_function("div", _c(ms), F.lit(1000))
     out = F.timestamp_seconds(secs)
     return out.cast("timestamp_ntz") if ntz else out
 

@@ -40,6 +40,7 @@ def load_all() -> None:
         io_queries,
         lookup_queries,
         music_queries,
+        proof_queries,
         quality_queries,
         travel_queries,
     )
