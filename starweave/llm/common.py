@@ -30,6 +30,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = 1_000, size: int = 8 << 20) -> None:
+    """Bound the Arrow batches of texts that the session hands to Python, in rows and bytes.
+
+    A batch is held several times over on its way (JVM, Python, results), by
+    each worker of an executor.
+    """
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def sampled(df: DataFrame, turn: Column, most: int, rows: int | None = None, spare: float = 4.0) -> DataFrame:
     """At most ``most`` rows of ``df``, the same in every run: those whose hash ``turn`` is smallest.
 

@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starweave.llm.common import pieces, stored, utf8
-from starweave.llm.tokens import transducer
+from starweave.llm.common import pieces, small_batches, stored, utf8
+from starweave.llm.tokens import BATCH_BYTES, transducer
 
 CAPACITY = 4096
 #: The shortest halving of the capacity; rests are shorter.
@@ -50,9 +50,9 @@ def _pieces(path: str, end: int, capacity: int, least: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, worker = transducer(path), TaskContext.get().partitionId()
         placed: dict[int, int] = {}
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", BATCH_BYTES):
             rows, ids = [], []
-            for doc, text in zip(batch["doc_id"].to_pylist(), machine.encode(utf8(batch["text"]).to_pylist())):
+            for doc, text in zip(batch["doc_id"].to_pylist(), machine.encode(utf8(batch["text"]))):
                 tokens = np.append(text, np.uint32(end)).astype("<u4")
                 raw, at = memoryview(tokens.tobytes()), 0
                 for length in cuts(len(tokens), capacity, least):
@@ -130,6 +130,7 @@ def pack(
     if capacity & (capacity - 1) or least & (least - 1) or not 0 < least <= capacity:
         raise ValueError("capacity and least are powers of two, least <= capacity")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    small_batches(docs)
     fields = FIELDS + (", ids array<int>" if with_ids else "")
     cut = stored(rows.mapInArrow(_pieces(path, end, capacity, least, with_ids), fields), "pieces")
     counts = stored(cut.groupBy("worker", "length").agg(F.count("*").alias("n")), "piece-counts")

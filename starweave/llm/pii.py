@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starweave.llm.common import pieces, stored
+from starweave.llm.common import pieces, small_batches, stored
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # kind, start, end
@@ -402,6 +402,7 @@ def personal_data(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
     are not read; an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    small_batches(docs)
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # SIZE weights, whatever the input
     names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starweave.llm.common import pieces, stored, utf8
+from starweave.llm.common import pieces, small_batches, stored, utf8
 from starweave.llm.components import connected_components
 
 #: Shingles whose bits are counted at a time.
@@ -69,6 +69,7 @@ def _fingerprints(shingle: int):
 
 def fingerprints(rows: DataFrame, shingle: int) -> DataFrame:
     """``rows`` with its last column, ``text``, replaced by ``fp`` (the fingerprint as a signed long)."""
+    small_batches(rows)
     kept = [f for f in rows.schema.fields if f.name != "text"]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["fp long"])
     return rows.mapInArrow(_fingerprints(shingle), schema)

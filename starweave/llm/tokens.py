@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 from itertools import accumulate, chain
 
@@ -26,16 +27,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starweave.llm.common import pieces, utf8
+from starweave.llm.common import IS_SPACE, bytes_of, pieces, small_batches, utf8, words_of
 
 #: Compiled paths a worker keeps (some 180 bytes each); beyond that, those of a batch last for the batch.
-MOST_PATHS = 500_000
+MOST_PATHS = 200_000
 #: Longer words are compiled for a batch only.
 LONGEST_PATH = 48
+#: Bytes of text whose words are looked up together.
+BATCH_BYTES = 4_000_000
 #: Characters of a chunk.
 CHUNK = 65_536
 
 
+@dataclass
+class Words:
+    """Words of a column: their bytes, each row's first word (one entry more), and paths."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+    path: np.ndarray
+
+    def word(self, k: int) -> bytes:
+        return self.data[self.starts[k] : self.ends[k]].tobytes()
+
+
 class Transducer:
     """Emitted tokens of words, compiled on first sight."""
 
@@ -81,24 +98,29 @@ class Transducer:
             self._compile(short + [w for w in new if len(w) > LONGEST_PATH])
         return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
 
-    def counts(self, texts: list[list[bytes]]) -> np.ndarray:
-        """Tokens that each sequence of words emits."""
-        path = self.paths(list(chain.from_iterable(texts)))
-        so_far = np.concatenate([[0], np.cumsum(self.sizes[path])])
-        ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
-        return so_far[ends] - so_far[ends - [len(t) for t in texts]]
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each text."""
-        words = [t.split() for t in texts]
-        path = self.paths(list(chain.from_iterable(words)))
-        sizes = self.sizes[path]
+    def words(self, column: pa.Array) -> Words:
+        """Paths of all words of a binary column; each distinct word is looked up once."""
+        data, offsets = bytes_of(column)
+        starts, ends, first = words_of(data, offsets)
+        cuts = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+        buffers = [None, pa.py_buffer(cuts), pa.py_buffer(data[~IS_SPACE[data]])]
+        coded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
+        path = self.paths(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
+        return Words(data, starts, ends, first, path)
+
+    def count(self, word: bytes) -> int:
+        """Tokens that a word emits."""
+        return int(self.sizes[self.paths([word])][0])
+
+    def encode(self, column: pa.Array) -> list[np.ndarray]:
+        """Token ids of each text of a binary column."""
+        words = self.words(column)
+        sizes = self.sizes[words.path]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.begins[path] - ends + sizes, sizes) + np.arange(total)]
+        ids = self.ids[np.repeat(self.begins[words.path] - ends + sizes, sizes) + np.arange(total)]
         so_far = np.concatenate([[0], ends])
-        cuts = so_far[np.cumsum([len(w) for w in words], dtype=np.int64)]
-        return np.split(ids, cuts[:-1]) if texts else []
+        return np.split(ids, so_far[words.first[1:-1]])
 
 
 @cache
@@ -112,25 +134,30 @@ def transducer(path: str, with_ids: bool = True) -> Transducer:
 Map = tuple[bool, bytes, int, bytes]
 
 
-def split_chunk(chunk: bytes, first: bool, last: bool) -> tuple[bool, bytes, list[bytes], bytes]:
-    """``(closed, head, words held whole, tail)``; at a text's ends its outer words are whole."""
-    words = chunk.split()
-    left = first or not chunk or chunk[:1].isspace()
-    right = last or not chunk or chunk[-1:].isspace()
-    if len(words) == 1 and not left and not right:
-        return False, chunk, [], b""
-    if not left and not right and not words:
-        return False, b"", [], b""
-    head = b"" if left or not words else words.pop(0)
-    tail = b"" if right or not words else words.pop()
-    return True, head, words, tail
-
+def state_maps(column: pa.Array, outer: list[tuple[bool, bool]], machine: Transducer) -> list[Map]:
+    """What each chunk of a binary column does; ``outer``: is it its text's first, its last?
 
-def state_maps(chunks: list[tuple[bytes, bool, bool]], machine: Transducer) -> list[Map]:
-    """What each chunk ``(bytes, first of its text, last)`` does."""
-    cut = [split_chunk(*c) for c in chunks]
-    counts = machine.counts([words for _, _, words, _ in cut])
-    return [(closed, head, n, tail) for (closed, head, _, tail), n in zip(cut, counts.tolist())]
+    At a text's ends the outer words are whole.
+    """
+    words = machine.words(column)
+    emitted = np.concatenate([[0], np.cumsum(machine.sizes[words.path])])
+    out: list[Map] = []
+    for i, (first, last) in enumerate(outer):
+        lo, hi = int(words.first[i]), int(words.first[i + 1])
+        head = tail = b""
+        if not (first and last):
+            chunk = column[i].as_py()
+            left = first or not chunk or chunk[:1].isspace()
+            right = last or not chunk or chunk[-1:].isspace()
+            if not left and not right and hi - lo == 1 or not chunk and not first and not last:
+                out.append((False, chunk, 0, b""))
+                continue
+            if not left and lo < hi:
+                head, lo = words.word(lo), lo + 1
+            if not right and lo < hi:
+                tail, hi = words.word(hi - 1), hi - 1
+        out.append((True, head, int(emitted[hi] - emitted[lo]), tail))
+    return out
 
 
 def compose(a: Map, b: Map, machine: Transducer) -> Map:
@@ -140,15 +167,15 @@ def compose(a: Map, b: Map, machine: Transducer) -> Map:
     if not b[0]:
         return True, a[1], a[2], a[3] + b[1]
     between = a[3] + b[1]
-    return True, a[1], a[2] + b[2] + (int(machine.counts([[between]])[0]) if between else 0), b[3]
+    return True, a[1], a[2] + b[2] + (machine.count(between) if between else 0), b[3]
 
 
 def _summaries(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(path, False)
-        for batch in pieces(batches, "chunk"):
-            rows = zip(utf8(batch["chunk"]).to_pylist(), batch["part"].to_pylist(), batch["parts"].to_pylist())
-            maps = state_maps([(c, part == 0, part == parts - 1) for c, part, parts in rows], machine)
+        for batch in pieces(batches, "chunk", BATCH_BYTES):
+            rows = zip(batch["part"].to_pylist(), batch["parts"].to_pylist())
+            maps = state_maps(utf8(batch["chunk"]), [(part == 0, part == parts - 1) for part, parts in rows], machine)
             closed, heads, counts, tails = zip(*maps)
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], batch["doc_id"], batch["n_bytes"], batch["part"], pa.array(closed),
@@ -197,6 +224,7 @@ def token_counts(
     cut = F.when(F.col("parts") == 1, F.col("text")).otherwise(
         F.substring("text", F.col("part") * chunk + 1, F.lit(chunk))
     )
+    small_batches(docs)
     maps = part.select("row", "doc_id", "n_bytes", "part", "parts", cut.alias("chunk")).mapInArrow(
         _summaries(path),
         "row long, doc_id long, n_bytes long, part int, closed boolean, head binary, count long, tail binary",

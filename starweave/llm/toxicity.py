@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from starweave.llm.common import bytes_of, mixed, pieces, sampled, stored, utf8
+from starweave.llm.common import bytes_of, mixed, pieces, sampled, small_batches, stored, utf8
 
 #: Hashed features, and labelled rows that are learned from at most.
 SIZE, SAMPLE = 1 << 18, 10_000
@@ -216,6 +216,7 @@ def train(
     labels is toxic if one says so. Without labelled rows every text scores
     the same low value.
     """
+    small_batches(docs)
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic"))
     known = known.where(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -238,6 +239,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     columns pass through whatever they are called.
     """
     rows = docs.drop(out) if out != text_col else docs
+    small_batches(docs)
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # SIZE numbers, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
