@@ -3,7 +3,6 @@
 from starweave.functions.text import (
     ifnull_text,
     md5_key,
-    not_blank,
     parse_number,
     split_item,
     to_decimal18,
@@ -29,7 +28,6 @@ __all__ = [
     "millis_to_date",
     "millis_to_second",
     "millis_to_timestamp",
-    "not_blank",
     "parse_number",
     "sas_to_date",
     "split_item",

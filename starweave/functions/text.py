@@ -60,9 +60,3 @@ def truncate_width(col: Column | str, width: int) -> Column:
 def to_decimal18(col: Column | str) -> Column:
     """The ``numeric(18,0)`` column type: rounds half up to integers."""
     return _c(col).cast("decimal(18,0)")
-
-
-def not_blank(col: Column | str) -> Column:
-    """value present and not the empty string."""
-    c = _c(col)
-    return c.isNotNull() & (c != F.lit(""))

@@ -8,7 +8,6 @@ from starweave.operators.clean import (
     keep_where,
     nonblank,
     project,
-    union_all,
     with_columns,
 )
 from starweave.operators.joins import (
@@ -72,7 +71,6 @@ __all__ = [
     "report",
     "table_report",
     "truncate_insert",
-    "union_all",
     "upsert",
     "with_columns",
     "write_table",

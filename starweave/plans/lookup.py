@@ -17,15 +17,6 @@ from starweave.operators.clean import nonblank
 from starweave.operators.loads import keyed_overwrite, query_layout, write_table
 from starweave.sources.readers import read_csv
 
-# The three questions of the reference and the tables that answer them:
-# (table, partition key, clustering key, columns kept).
-SONG_INFO_BY_SESSION = ("song_info_by_session", ["sessionId"], ["itemInSession"],
-                        ["sessionId", "itemInSession", "artist", "song", "length"])
-SONG_INFO_BY_USER = ("song_info_by_user", ["userId", "sessionId"], ["itemInSession"],
-                     ["userId", "sessionId", "itemInSession", "artist", "song", "firstName", "lastName"])
-USER_INFO_BY_SONG = ("user_info_by_song", ["song"], ["userId"],
-                     ["song", "userId", "firstName", "lastName"])
-
 
 def merge_event_files(
     spark: SparkSession,

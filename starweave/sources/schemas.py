@@ -85,11 +85,7 @@ SONG = struct(
     "duration double, year int"
 )
 
-# Merged event CSV used for the query-first tables (all fields quoted).
-EVENT_CSV = struct(
-    "artist string, firstName string, gender string, itemInSession int, lastName string, "
-    "length double, level string, location string, sessionId int, song string, userId int"
-)
+# Column names, order and types below must equal the reference's.
 
 # --- star tables ------------------------------------------------------------
 
@@ -116,13 +112,6 @@ STAR_KEYS: dict[str, list[str]] = {
     "time": ["start_time"],
 }
 
-# Query-first tables: (partition key columns, clustering columns).
-QUERY_TABLES: dict[str, tuple[list[str], list[str]]] = {
-    "song_info_by_session": (["sessionId"], ["itemInSession"]),
-    "song_info_by_user": (["userId", "sessionId"], ["itemInSession"]),
-    "user_info_by_song": (["song"], ["userId"]),
-}
-
 # Column widths of the warehouse DDL (varchar(n)); C7 enforces them.
 WIDTHS: dict[str, dict[str, int]] = {
     "songplays": {"songplay_id": 32, "level": 256, "song_id": 256, "artist_id": 256,
@@ -157,12 +146,6 @@ LOG_MAPPING: list[tuple[str, str, str]] = [
 
 # --- capstone inputs --------------------------------------------------------
 
-DEMOGRAPHICS = struct(
-    "City string, State string, Median_Age double, Male_Population int, Female_Population int, "
-    "Total_Population int, Number_of_Veterans int, Foreign_born int, "
-    "Average_Household_Size double, State_Code string, Race string, Count int"
-)
-
 AIRPORT = struct(
     "ident string, type string, name string, elevation_ft double, continent string, "
     "iso_country string, iso_region string, municipality string, gps_code string, "
