@@ -92,13 +92,14 @@ def test_not_in_null_rules(spark):
 
 
 def test_user_policies(spark):
+    less = {"optional": ("lastName", "gender")}  # absent from this log
     rows = [(7, "Ann", "free", 1), (7, "Anna", "paid", 2), (8, "Bob", "free", 3)]
     log = spark.createDataFrame(rows, "userId int, firstName string, level string, ts bigint") \
         .withColumn("page", F.lit("NextSong"))
-    up = {r.user_id: (r.first_name, r.level) for r in build_users(log, "upsert_level").collect()}
+    up = {r.user_id: (r.first_name, r.level) for r in build_users(log, "upsert_level", **less).collect()}
     assert up == {7: ("Ann", "paid"), 8: ("Bob", "free")}
-    assert build_users(log, "distinct").where("user_id = 7").count() == 2
-    first = {r.user_id: (r.first_name, r.level) for r in build_users(log, "first").collect()}
+    assert build_users(log, "distinct", **less).where("user_id = 7").count() == 2
+    first = {r.user_id: (r.first_name, r.level) for r in build_users(log, "first", **less).collect()}
     assert first[7] == ("Ann", "free")
 
 
