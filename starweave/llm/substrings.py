@@ -13,7 +13,8 @@ the answers of two rounds of shuffles:
 2. Windows with a repeating minimizer are sent, once per batch, with their
    coordinates, and come back with the coordinates of their first occurrence:
    the source. Two windows are equal if the independent 64-bit hashes of the
-   minimizer and of the whole window both are.
+   minimizer and of the whole window both are. Both together choose the bucket,
+   so the many different windows around a frequent line spread over all.
 3. Consecutive windows whose sources are consecutive too are a nonbranching
    repeated path and are compacted into one span with one source.
 
@@ -149,6 +150,11 @@ class Batch:
         return order[text], key[text], (self.at[window] - self.first[text]).astype(np.int32)
 
 
+def _places(lead: np.ndarray, whole: np.ndarray, buckets: int) -> np.ndarray:
+    """Pass 2's bucket of each window: equal windows meet, others with the same minimizer need not."""
+    return mixed(whole + lead * _MULTIPLIER) % np.uint64(buckets)
+
+
 def _table(schema: dict[str, pa.DataType], rows: list[tuple]) -> pa.Table:
     columns = zip(*rows) if rows else [[] for _ in schema]
     return pa.table({n: pa.array(list(c), t) for (n, t), c in zip(schema.items(), columns)})
@@ -213,7 +219,7 @@ def _edges(width: int, buckets: int):
         window, whole, first, _ = batch.entries(_repeating(batch, answers, buckets))
         lead, out = batch.minimizer[window[first]], []
         order, text, start = batch.coordinates(window[first])
-        bucket = lead % np.uint64(buckets)
+        bucket = _places(lead, whole[first], buckets)
         for b in np.unique(bucket):
             mine = np.flatnonzero(bucket == b)
             columns = (lead, whole[first], order, text, start)
@@ -253,8 +259,7 @@ def _remove(width: int, buckets: int):
         batch = Batch.of(rows, width)
         total = int(batch.first[-1])
         window, whole, first, entry = batch.entries(_repeating(batch, answers, buckets))
-        lead = batch.minimizer[window[first]]
-        bucket = lead % np.uint64(buckets)
+        bucket = _places(batch.minimizer[window[first]], whole[first], buckets)
         # every window's source: the first in this batch, unless another batch has it earlier
         order, text, start = (c.copy() for c in batch.coordinates(window[first]))
         elsewhere = np.zeros(len(first), dtype=bool)

@@ -9,6 +9,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -286,6 +288,29 @@ def test_repeats_match_brute_force(spark, batch_bytes):
         assert any(a[s.start : s.end] == b[s.source_start : s.source_start + n] for a in texts[r.doc_id] for b in texts[source])
 
 
+def test_windows_around_a_frequent_line_spread_over_buckets():
+    rng, line = np.random.default_rng(5), " ".join(f"line{i}" for i in range(18))
+    texts = [" ".join([*(f"w{n}" for n in rng.integers(0, 1 << 40, 60)), line, *(f"w{n}" for n in rng.integers(0, 1 << 40, 60))]) for _ in range(400)]
+    buckets, edges, asked = 16, [], []
+    tables = [
+        pa.table({"doc_id": ids, "order_id": ids, "text_hash": ids, "text": [texts[i] for i in ids]})
+        for ids in (range(at, at + 100) for at in range(0, 400, 100))
+    ]
+    tables = [t.cast(pa.schema([(n, pa.string() if n == "text" else pa.int64()) for n in t.column_names])) for t in tables]
+    for n, rows in enumerate(tables):
+        asked.append(substrings._ask(20, buckets)((pa.scalar(n),), rows))
+    asked = pa.concat_tables(asked)
+    answers = [substrings._repeats((pa.scalar(b),), asked.filter(pc.equal(asked["bucket"], b))) for b in range(buckets)]
+    answers = pa.concat_tables(answers)
+    for n, rows in enumerate(tables):
+        edges += substrings._edges(20, buckets)((pa.scalar(n),), rows, answers.filter(pc.equal(answers["batch"], n))).to_pylist()
+    held = Counter()
+    for e in edges:
+        held[e["bucket"]] += len(e["whole"]) // 8
+    assert sum(held.values()) > 400  # the line's minimizer repeats, so windows around it are sent
+    assert max(held.values()) < 3 * sum(held.values()) / buckets
+
+
 def test_repeats_empty(spark):
     assert substrings.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
