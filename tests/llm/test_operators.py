@@ -254,6 +254,30 @@ def test_embeddings_match_brute_force(spark):
     assert embeddings.embedding_dedup(df.limit(0)).count() == 0
 
 
+def link_counts(vectors: list[list[float]]) -> list[int]:
+    out = []
+    for v in vectors:
+        same = np.array([w for w in vectors if len(w) == len(v)], dtype=np.float64)
+        same /= np.sqrt((same * same).sum(axis=1, keepdims=True))
+        out.append(int((same @ (np.array(v) / np.sqrt(np.dot(v, v))) >= 0.9).sum()) - 1)
+    return out
+
+
+@pytest.mark.parametrize("kind", ["one longer vector", "two dimensions", "low rank"])
+def test_no_link_is_lost(spark, kind):
+    rng = np.random.default_rng(11)
+    if kind == "low rank":
+        x = list(rng.normal(size=(500, 3)) @ rng.normal(size=(3, 64)))
+    else:
+        base = rng.normal(size=(250, 64))
+        x = [v for b in base for v in (b, b + 0.42 * rng.normal(size=64))]
+        x += [rng.normal(size=4096)] if kind == "one longer vector" else [v for b in rng.normal(size=(150, 24)) for v in (b, b + 0.4 * rng.normal(size=24))]
+    x = [v.tolist() for v in x]
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>").repartition(3)
+    got = {r.vec_id: r.n_links for r in embeddings.embedding_dedup(df, 0.9, per_cell=32).collect()}
+    assert [got[i] for i in range(len(x))] == link_counts(x)
+
+
 # op 5
 
 
