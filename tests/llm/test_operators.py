@@ -222,6 +222,25 @@ def test_personal_data(spark):
     assert pii.personal_data(docs.limit(0), model).count() == 0
 
 
+def test_the_model_decides_what_the_patterns_miss(spark):
+    found = [
+        ("please call (646) 555-0173 today", "phone", "(646) 555-0173"), ("reach me at 917-555-0186 or so", "phone", "917-555-0186"),
+        ("write to bob.ray @ mail.example.org please", "email", "bob.ray @ mail.example.org"),
+        ("write to sue@ example.org please", "email", "sue@ example.org"),
+        ("+49 (0) 30 12 34 56 78 10.20.30.40", "phone", "+49 (0) 30 12 34 56 78"),
+    ]
+    clean = [
+        "order 87654321 of 2023-11-12 was", "they sold 7 @ 2.50 each", "isbn 978-0-30-640615-7 is", "thanks @bob_ray for it",
+        "some 3 456 789 012 stars", "id 6172839405 was", "ref 8247440297306508 was",
+    ]
+    model = pii.train(table(spark, [(i, t, "s") for i, t in enumerate(PRIVATE)]))
+    for text, kind, value in found:
+        at = text.index(value)
+        assert f"{kind}:{at}:{at + len(value)}" in pii.joined(pii.find(text, model)[1]).split(","), text
+    for text in clean:
+        assert pii.find(text, model)[1] == [], text
+
+
 # op 4
 
 
