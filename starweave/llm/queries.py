@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.llm import embeddings, exact, mixing, packing, pii, simhash, substrings, tokens, toxicity, warc
+from starweave.llm import (
+    embeddings, exact, lines, mixing, packing, periodic, pii, simhash, spelling, substrings, tokens, toxicity, warc,
+)
 from starweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +210,125 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.exact_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@register(
+    "op11_line_dedup",
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+    u AS (SELECT r, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM d),
+    k AS (
+      SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM u),
+    f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
+    m AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f ON k.key = f.key)
+    SELECT doc_id, count(*)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+    FROM m GROUP BY r, doc_id
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.line_dedup(table(spark, sf_dir, "documents"), least_docs=10, least_chars=1)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register(
+    "op12_spelling_variants",
+    r"""
+    WITH RECURSIVE crc_table AS (
+      SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                              lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t
+      FROM (SELECT unnest(range(256)) AS i)),
+    d AS (
+      SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+    r AS (
+      SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+      FROM d GROUP BY ALL),
+    b AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM r WHERE length(run) >= 5),
+    h AS (
+      SELECT run, n, xor(4294967295, list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2), lambda i: ('0x' || substr(x, i::INT, 2))::BIGINT)),
+               lambda c, v: xor(c // 256, t[(xor(c, v) % 256 + 1)::INT]))) AS h
+      FROM b, crc_table),
+    w AS (
+      SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word,
+             sum(n)::BIGINT AS n
+      FROM h GROUP BY 1 HAVING sum(n) >= 3),
+    v AS (SELECT * FROM w WHERE length(word) >= 5),
+    s AS (
+      SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i, left(word, i - 1) || substr(word, i + 1) AS rest FROM v),
+    p AS (
+      SELECT a.word, b.word AS other, b.n AS other_n FROM s a JOIN s b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM s a JOIN v b ON a.rest = b.word
+      UNION SELECT b.word, a.word, a.n FROM s a JOIN v b ON a.rest = b.word),
+    q AS (
+      SELECT word, count(*) AS n_near, max(other_n) AS most, arg_min(encode(other), (-other_n, encode(other))) AS best FROM p GROUP BY word),
+    f AS (
+      SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near,
+             CASE WHEN most >= 2 * v.n THEN decode(best) END AS form, CASE WHEN most >= 2 * v.n THEN most END AS form_n
+      FROM v LEFT JOIN q USING (word)),
+    c AS (
+      SELECT word, word AS root, 0 AS steps FROM f
+      UNION ALL SELECT c.word, f.form, steps + 1 FROM c JOIN f ON c.root = f.word WHERE f.form IS NOT NULL)
+    SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n
+    FROM f JOIN (SELECT word, arg_max(root, steps) AS root FROM c GROUP BY word) e USING (word)
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), least_chars=5, least_count=3, drop_every=97)
+    return spelling.spelling_variants(words)
+
+
+@register(
+    "op13_periodic_runs",
+    r"""
+    WITH crc_table AS (
+      SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                              lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t
+      FROM (SELECT unnest(range(256)) AS i)),
+    d AS (
+      SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(doc_id::VARCHAR, ''))) AS x,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    h AS (
+      SELECT r, doc_id, w, len(w)::BIGINT AS n, xor(4294967295, list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2), lambda i: ('0x' || substr(x, i::INT, 2))::BIGINT)),
+               lambda c, v: xor(c // 256, t[(xor(c, v) % 256 + 1)::INT]))) AS h
+      FROM d, crc_table),
+    a AS (SELECT *, h // 10 AS g, CASE WHEN n > 0 THEN (h // 10) % n ELSE 0 END AS a FROM h),
+    e AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+    k AS (
+      SELECT r, i, CASE WHEN h % 10 = 0 AND i >= a THEN w[(a + (i - a) % p + 1)::INT] ELSE w[i + 1] END AS word
+      FROM (SELECT *, unnest(range(n::INT)) AS i FROM e)),
+    q AS (SELECT x.r, x.i, y.i - x.i AS p FROM k x JOIN k y ON x.r = y.r AND x.word = y.word AND y.i > x.i),
+    o AS (SELECT *, i - row_number() OVER (PARTITION BY r, p ORDER BY i) AS island FROM q),
+    s AS (
+      SELECT r, p, min(i) AS start, count(*) + p AS length FROM o
+      GROUP BY r, p, island HAVING count(*) + p >= greatest(12, 2 * p)),
+    u AS (SELECT r, start, length, min(p) AS period FROM s GROUP BY r, start, length),
+    c AS (SELECT r, start + period AS i, 1 AS v FROM u UNION ALL SELECT r, start + length, -1 FROM u UNION ALL SELECT r, i, 0 FROM k),
+    g AS (
+      SELECT DISTINCT r, i, sum(v) OVER (PARTITION BY r ORDER BY i RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > 0 AS gone FROM c),
+    t AS (
+      SELECT k.r, string_agg(word, ' ' ORDER BY k.i) FILTER (NOT gone) AS kept
+      FROM k JOIN g ON k.r = g.r AND k.i = g.i GROUP BY k.r),
+    z AS (
+      SELECT r, count(*) AS n_runs, arg_min({'start': start, 'length': length, 'period': period}, (-length, start, period)) AS b,
+             string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS all_runs
+      FROM u GROUP BY r)
+    SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.start::BIGINT AS start, b.length::BIGINT AS length,
+           b.period::BIGINT AS period, (1000 * b.length // b.period)::BIGINT AS exponent_milli,
+           sha256(coalesce(all_runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM h LEFT JOIN z USING (r) LEFT JOIN t USING (r)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents"), least=12, lay=True)
+    # the longest run; of several the one with the smallest start, then period
+    best = F.expr("array_min(transform(runs, r -> struct(-r.length as less, r.start as start, r.period as period)))")
+    lines = F.expr("transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n'))")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", (-F.col("best.less")).alias("length"),
+        "best.period", F.expr("-1000 * best.less div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
