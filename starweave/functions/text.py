@@ -52,9 +52,37 @@ def md5_key(*cols: Column | str) -> Column:
     return F.md5(F.concat(*[_c(c).cast("string") for c in cols]))
 
 
-def truncate_width(col: Column | str, width: int) -> Column:
-    """Cut a string to ``width`` characters (``truncatecolumns``)."""
-    return F.substring(_c(col), 1, width)
+#: What a ``varchar(n)`` counts: code points (row stores) or UTF-8 bytes (column-store warehouses).
+WIDTH_UNITS = ("chars", "bytes")
+
+
+def width_of(col: Column | str, unit: str = "chars") -> Column:
+    """Length of a string in code points or UTF-8 bytes."""
+    if unit not in WIDTH_UNITS:
+        raise ValueError(f"unit: one of {WIDTH_UNITS}")
+    return F.length(_c(col)) if unit == "chars" else F.octet_length(_c(col))
+
+
+def truncate_width(col: Column | str, width: int, unit: str = "chars") -> Column:
+    """Cut a string to ``width`` characters, or at the last whole one within ``width`` bytes.
+
+    For bytes: ``width`` code points are at least ``width`` bytes, so only
+    those are encoded. A cut between two bytes is a cut between code points
+    unless the byte behind it continues one (``10xxxxxx``); a code point has at
+    most three such bytes, so one of the last four places will do.
+    """
+    if unit not in WIDTH_UNITS:
+        raise ValueError(f"unit: one of {WIDTH_UNITS}")
+    head = F.substring(_c(col), 1, width)
+    if unit == "chars" or width <= 0:
+        return head
+    raw = F.encode(head, "UTF-8")
+    keep = F.lit(max(0, width - 3))
+    for cut in range(max(0, width - 2), width + 1):
+        behind = F.hex(F.substring(raw, cut + 1, 1))
+        keep = F.when(~behind.between("80", "BF"), F.lit(cut)).otherwise(keep)
+    cut = F.substring(raw, F.lit(1), keep)
+    return F.when(F.octet_length(head) <= width, head).otherwise(F.decode(cut, "UTF-8"))
 
 
 def to_decimal18(col: Column | str) -> Column:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -24,6 +24,10 @@ from starweave.session import scratch_path
 
 ColumnLike = Column | str
 
+# Most distinct values of the Bloom-filtered column that a batch's scan of the
+# stored rows is narrowed by; each is one equality that file footers answer.
+MAX_LISTED_KEYS = 200
+
 # Most directory-partition values (e.g. periods of a fact) one appended batch
 # may touch for the stored table to be pruned to them by a static filter.
 MAX_TOUCHED_PARTITIONS = 10_000
@@ -43,6 +47,7 @@ def write_table(
     sort_within: Sequence[str] = (),
     rebalance: bool = False,
     options: Mapping[str, str] | None = None,
+    observe: tuple[Observation, Sequence[Column]] | None = None,
 ) -> str:
     """Write a frame.
 
@@ -55,12 +60,16 @@ def write_table(
       are in.
     * ``sort_within``: sort inside each task so parquet min/max statistics
       skip row groups on later filters (the sort key of L5).
+    * ``observe``: aggregates of the written rows, collected by the writing
+      tasks themselves (``operators.quality.write_checked``).
     """
     out = df
     if rebalance:
         out = out.hint("rebalance", *partition_by)
     if sort_within or partition_by:
         out = out.sortWithinPartitions(*partition_by, *sort_within)
+    if observe:
+        out = out.observe(observe[0], *observe[1])
     writer = out.write.mode(mode).format(fmt).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -104,6 +113,8 @@ def append_new(
     stage: bool = True,
     order_by: ColumnLike | Sequence[ColumnLike] | None = None,
     max_touched: int = MAX_TOUCHED_PARTITIONS,
+    bloom: str | None = None,
+    bloom_values: int = 1_000_000,
 ) -> str:
     """K5 made idempotent: append only rows whose key is not stored yet.
 
@@ -128,15 +139,28 @@ def append_new(
 
     ``stage=False`` skips step 1 for a batch that is cheap and deterministic
     to read twice, such as a micro-batch of landed files.
+
+    ``bloom`` names a key column whose files get a Bloom filter (sized for
+    ``bloom_values`` distinct values a file). A batch with at most
+    ``MAX_LISTED_KEYS`` values of it pushes them to the stored scan as
+    equalities, and files that hold none of them are skipped by their footers.
+    A larger batch compares as without.
     """
     spark = df.sparkSession
     partition_by = list(partition_by)
+    options = {}
+    if bloom:
+        if bloom not in keys:
+            raise ValueError("bloom must be one of the keys")
+        options = {f"parquet.bloom.filter.enabled#{bloom}": "true",
+                   f"parquet.bloom.filter.expected.ndv#{bloom}": str(bloom_values)}
     df = first_per_key(df, list(keys), order_by if order_by is not None else [F.lit(0)])
     stored_schema = df.select(*[c for c in df.columns if c not in partition_by], *partition_by).schema
     current = read_if_exists(spark, path, fmt, schema=stored_schema)
     if current is None:
         fresh = df
     elif not partition_by:
+        current = _listed(df, current, bloom)
         fresh = anti_join(df, current, [(k, k) for k in keys], null_safe=True)
     else:
         batch = df
@@ -154,15 +178,33 @@ def append_new(
                 if any(r[i] is None for r in touched):
                     cond = cond | F.col(name).isNull()
                 current = current.where(cond)
+        current = _listed(batch, current, bloom)
         fresh = anti_join(batch, current, [(k, k) for k in keys], null_safe=True)
         if stage:
-            write_table(fresh, path, mode="append", fmt=fmt, partition_by=partition_by, rebalance=True)
+            write_table(fresh, path, mode="append", fmt=fmt, partition_by=partition_by, rebalance=True, options=options)
             # the append has committed: truncate the staged copy, so the shared
             # folder does not keep a second copy of every batch
             spark.createDataFrame([], stored_schema).write.mode("overwrite").format(fmt).save(staged)
             return path
     return write_table(fresh, path, mode="append", fmt=fmt, partition_by=partition_by,
-                       rebalance=bool(partition_by))
+                       rebalance=bool(partition_by), options=options)
+
+
+def _listed(batch: DataFrame, current: DataFrame, column: str | None) -> DataFrame:
+    """``current`` narrowed to a small batch's values of ``column``, as equalities that reach the footers.
+
+    (A longer ``IN`` would reach them as a range only.)
+    """
+    if column is None:
+        return current
+    found = batch.select(column).distinct().take(MAX_LISTED_KEYS + 1)
+    if len(found) > MAX_LISTED_KEYS:
+        return current
+    kind = current.schema[column].dataType
+    conds = [F.col(column).isNull() if r[0] is None else F.col(column) == F.lit(r[0]).cast(kind) for r in found]
+    while len(conds) > 1:  # a balanced tree keeps the expression shallow
+        conds = [a | b for a, b in zip(conds[::2], conds[1::2])] + ([conds[-1]] if len(conds) % 2 else [])
+    return current.where(conds[0] if conds else F.lit(False))
 
 
 def truncate_insert(df: DataFrame, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet") -> str:
@@ -305,6 +347,7 @@ def dense_ids(
     name: str = "id",
     start: int = 1,
     num_partitions: int | None = None,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Gap-free surrogate keys ``start, start+1, ...`` in ``order_by``.
 
@@ -323,7 +366,9 @@ def dense_ids(
 
     The tags travel with the rows, so the numbering does not depend on how
     the stored table is split when read back. ``order_by`` should be unique
-    for a reproducible numbering.
+    for a reproducible numbering. A caller that gives the path of the stored
+    rows (``scratch``) removes them when the result has been written; keys that
+    continue over loads are in ``operators.sequences``.
     """
     spark = df.sparkSession
     order = _batch_order(order_by)
@@ -333,7 +378,7 @@ def dense_ids(
         "_pid": pid,
         "_idx": F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33),
     })
-    stored = spark.read.parquet(write_table(tagged, scratch_path(spark, "dense-ids")))
+    stored = spark.read.parquet(write_table(tagged, scratch or scratch_path(spark, "dense-ids")))
     counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

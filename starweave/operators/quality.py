@@ -13,11 +13,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starweave.operators.joins import orphans
+from starweave.operators.loads import write_table
 
+REPORT_SCHEMA = "table_name string, column_name string, check_name string, value bigint, passed boolean"
 REPORT_COLUMNS = ["table_name", "column_name", "check_name", "value", "passed"]
 
 
@@ -91,6 +93,36 @@ def table_report(spec: TableChecks) -> DataFrame:
     return stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def write_checked(spec: TableChecks, path: str, **write) -> DataFrame:
+    """A1/Q1/Q2/Q4/Q5 of a frame while it is written: the report of ``table_report``, without a second scan.
+
+    The writing tasks count their rows and null keys (an ``Observation`` on the
+    frame as it is written, behind any shuffle of ``write_table``). Repeated
+    keys cannot be counted that way: a spec that asks for them is an error.
+    ``write`` goes to ``write_table``.
+    """
+    if spec.key and spec.unique:
+        raise ValueError("repeats are not counted while writing; set unique=False")
+    df, key = spec.df, list(spec.key) if spec.not_null else []
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(k).isNull()).alias(f"null_{k}") for k in key]]
+    write_table(df, path, observe=(seen, counts), **write)
+    got = seen.get
+    rows, n = [], got.get("n", 0)
+    if spec.min_rows is not None:
+        rows.append((spec.table, "*", "min_rows", n, n >= spec.min_rows))
+    if spec.expected_rows is not None:
+        rows.append((spec.table, "*", "expected_rows", n, n == spec.expected_rows))
+    for k in key:
+        nulls = got.get(f"null_{k}", 0)
+        rows.append((spec.table, k, "not_null", nulls, nulls == 0))
+    actual = dict(df.dtypes)
+    for column, expected in spec.types.items():
+        ok = actual.get(column) == expected
+        rows.append((spec.table, column, f"type={expected}", 0 if ok else 1, ok))
+    return df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
+
+
 def fk_report(table: str, fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:
     """Count fact rows whose foreign key has no dimension row.
 

@@ -56,3 +56,11 @@ def publish(df: DataFrame, base: str, partition_by: Sequence[str] = (), keep: in
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/v{old:08d}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return path
+
+
+def truncate_load(df: DataFrame, base: str, columns: Sequence[str] | None = None, keep: int = 1) -> str:
+    """K6/K7: delete all rows, then insert, as one switch: a failed job leaves the rows of before.
+
+    ``columns`` gives the target's column order (the insert is by position).
+    """
+    return publish(df.select(*columns) if columns else df, base, keep=keep)

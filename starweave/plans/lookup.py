@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starweave.operators.clean import nonblank
@@ -49,6 +49,26 @@ def build_query_table(
     return query_layout(latest.select(*columns), partition_keys, clustering_keys)
 
 
+def lookup_positions(table: DataFrame, clustering_keys: Sequence[str], name: str = "position", **key_values) -> DataFrame:
+    """A partition's rows with their place in clustering order, from 0, in as many tasks as it has files.
+
+    ``table`` is a stored query-first table, read straight from its files: a
+    file holds one sorted run of keys, and runs do not overlap. So a row's
+    place is its row number in its file, less that of the partition's first row
+    there, plus the partition's rows in the files before: one small row per
+    file is summed up and joined back. Nothing is sorted.
+    """
+    rows = lookup(table, **key_values)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy("_file").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"), F.min(F.struct(*clustering_keys)).alias("_low")
+    )
+    before = Window.orderBy("_low").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_file", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = rows.join(files, "_file")
+    return placed.select(*table.columns, (F.col("_before") + F.col("_row") - F.col("_first")).alias(name))
+
+
 def lookup(table: DataFrame, clustering_keys: Sequence[str] = (), **key_values) -> DataFrame:
     """Rows of one partition (or one full key), in clustering order."""
     cond = None

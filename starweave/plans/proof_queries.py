@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starweave.operators.clean import keep_where, nonblank
 from starweave.operators.loads import query_layout
 from starweave.operators.quality import TableChecks, report
-from starweave.plans.lookup import lookup
+from starweave.plans.lookup import lookup_positions
 from starweave.plans.registry import register
 from starweave.plans.roles import Tables
 from starweave.plans.travel import attach_labels, build_state, build_temperature
@@ -120,6 +120,6 @@ def partition_in_order(spark, sf_dir):
     hot = stored.groupBy("user_id", "event_type").count().orderBy(F.desc("count"), "user_id", "event_type").first()
     if hot is None:
         return stored.withColumn("position", F.lit(0).cast("long"))
-    # one partition key's rows, read back in order; the position is the row's place in the output
-    ordered = lookup(stored, ["ts", "event_id"], user_id=hot.user_id, event_type=hot.event_type).coalesce(1)
-    return ordered.select("user_id", "event_type", "event_id", "ts", F.monotonically_increasing_id().alias("position"))
+    # one partition key's rows and their places, from as many tasks as files
+    placed = lookup_positions(stored, ["ts", "event_id"], user_id=hot.user_id, event_type=hot.event_type)
+    return placed.select("user_id", "event_type", "event_id", "ts", "position")

@@ -42,5 +42,6 @@ def load_all() -> None:
         music_queries,
         proof_queries,
         quality_queries,
+        scale_queries,
         travel_queries,
     )

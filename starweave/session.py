@@ -97,3 +97,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/starweave/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch tables whose last reader is done. Paths outside the scratch folder are an error."""
+    root = f"{checkpoint_root(spark)}/starweave/"
+    for name in paths:
+        if not name.startswith(root):
+            raise ValueError(f"{name} is not a scratch table")
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

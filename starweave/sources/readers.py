@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starweave.functions.text import truncate_width, width_of
 from starweave.sources.schemas import table_schema
 
 # Text formats keep microseconds only with an explicit pattern; the default
@@ -162,11 +163,11 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(table_schema(name)).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def enforce_widths(df: DataFrame, widths: Mapping[str, int], mode: str = "truncate") -> DataFrame:
-    """``varchar(n)`` columns.
+def enforce_widths(df: DataFrame, widths: Mapping[str, int], mode: str = "truncate", unit: str = "chars") -> DataFrame:
+    """``varchar(n)`` columns, ``n`` in code points or UTF-8 ``bytes``.
 
-    ``truncate`` cuts longer values (``truncatecolumns``); ``fail`` raises
-    at run time on the first value that does not fit.
+    ``truncate`` cuts longer values (``truncatecolumns``), never inside a code
+    point; ``fail`` raises at run time on the first value that does not fit.
     """
     exprs = {}
     for name, n in widths.items():
@@ -174,12 +175,50 @@ def enforce_widths(df: DataFrame, widths: Mapping[str, int], mode: str = "trunca
             continue
         c = F.col(name)
         if mode == "truncate":
-            exprs[name] = F.substring(c, 1, n)
+            exprs[name] = truncate_width(c, n, unit)
         elif mode == "fail":
             exprs[name] = F.when(
-                F.length(c) > F.lit(n),
+                width_of(c, unit) > F.lit(n),
                 F.raise_error(F.concat(F.lit(f"value too long for {name} varchar({n}): "), c)),
             ).otherwise(c)
         else:
             raise ValueError("mode must be 'truncate' or 'fail'")
     return df.withColumns(exprs) if exprs else df
+
+
+# --- arrival order (K8, K9, K11, L3, A6) ---------------------------------------
+
+
+def with_arrival(df: DataFrame, name: str = "_arrival") -> DataFrame:
+    """The place of each row in its files: ``(file, block, row)``, to order first and last rows by.
+
+    Order by this column is order by file path, then by row in the file, which
+    a job that goes through files one after the other would see. ``df`` must
+    come straight from a file reader. Parquet rows have a row number in their
+    file. In text formats a row is placed by the start of its block and its
+    turn within the task that reads the block: the numbers depend on how files
+    are split, the order does not.
+    """
+    rows = "_metadata.row_index" in _metadata_fields(df)
+    block = F.lit(0).cast("long") if rows else F.col("_metadata.file_block_start")
+    row = F.col("_metadata.row_index") if rows else F.monotonically_increasing_id()
+    return df.withColumn(name, F.struct(F.col("_metadata.file_path").alias("file"), block.alias("block"), row.alias("row")))
+
+
+def _metadata_fields(df: DataFrame) -> set[str]:
+    return {f"_metadata.{n}" for n in df.select("_metadata").schema["_metadata"].dataType.fieldNames()}
+
+
+def with_line_number(df: DataFrame, name: str = "_line") -> DataFrame:
+    """S3: the number of each row in its file, from 1, whatever the splits (header lines are not counted).
+
+    A block's first number is the rows of the blocks before it: counts per
+    block (few rows beside the data) are summed per file and joined back.
+    """
+    placed = with_arrival(df, "_at")
+    blocks = placed.groupBy("_at.file", "_at.block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at.row").alias("_first"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("file", "block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    same = (F.col("_at.file") == F.col("file")) & (F.col("_at.block") == F.col("block"))
+    number = F.col("_before") + F.col("_at.row") - F.col("_first") + 1
+    return placed.join(blocks, same).select(*df.columns, number.alias(name))

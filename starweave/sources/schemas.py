@@ -70,6 +70,8 @@ def table_schema(name: str) -> T.StructType:
 
 # --- raw inputs of the music star ------------------------------------------
 
+# Field names, order and types of the raw inputs must equal the reference's.
+
 # Activity log, one JSON object per line (staging_events).
 LOG = struct(
     "artist string, auth string, firstName string, gender string, itemInSession int, "
@@ -152,6 +154,12 @@ AIRPORT = struct(
     "iata_code string, local_code string, coordinates string"
 )
 
+DEMOGRAPHICS = struct(
+    "City string, State string, Median_Age double, Male_Population int, Female_Population int, "
+    "Total_Population int, Number_of_Veterans int, Foreign_born int, Average_Household_Size double, "
+    "State_Code string, Race string, Count int"
+)
+
 STATE = struct("State string, Abbrev string, Code string")
 
 TEMPERATURE = struct(

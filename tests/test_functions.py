@@ -180,3 +180,31 @@ def test_reader_error_modes(spark):
         read_csv(spark, path, T.StructType.fromDDL("k int, v string"), header=False).collect()
     split = read_csv(spark, path, T.StructType.fromDDL("k int, v string"), header=False, on_error="reject").collect()
     assert {(r.k, r[REJECTED]) for r in split} == {(1, None), (None, "z,b")}
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 4, 5, 7, 11])
+def test_byte_widths_cut_at_whole_characters(spark, width):
+    from starweave.functions.text import truncate_width
+    from starweave.sources.readers import enforce_widths
+
+    texts = ["", "a", "abcdefghijklmnop", "äöü", "aä€😀", "😀😀", "€€€€", "a" * 10 + "😀", "x😀y", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+
+    def cut(t):
+        if t is None:
+            return None
+        out = ""
+        for c in t:
+            if len((out + c).encode()) > width:
+                break
+            out += c
+        return out
+
+    got = [r.c for r in df.select(truncate_width("t", width, "bytes").alias("c")).collect()]
+    assert got == [cut(t) for t in texts]
+    narrow = enforce_widths(df, {"t": width}, unit="bytes")
+    assert [r.t for r in enforce_widths(narrow, {"t": width}, "fail", "bytes").collect()] == got
+    with pytest.raises(Exception, match="value too long"):
+        enforce_widths(df, {"t": width}, "fail", "bytes").collect()
+    with pytest.raises(ValueError):
+        truncate_width("t", width, "words")
