@@ -74,6 +74,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = 2_000_000)
             to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()  # workers live on; the next task may be another stage's
 
 
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -3,8 +3,10 @@
 White space ends every token of the vocabularies handled here, so a tokenizer
 is a deterministic transducer over bytes that returns to its rest state at
 white space. It is compiled as texts are read: a path from the rest state (a
-word) is run through the tokenizers library once, and the transition on the
-white space that closes it is annotated with the tokens it emits.
+word) is run once through the vocabulary's merges, which ``merges`` holds in
+flat arrays (words with other letters than Latin through the tokenizers
+library), and the transition on the white space that closes it is annotated
+with the tokens it emits.
 
 A chunk of a text is a map on states. Entered in the rest state or inside a
 word, it emits the tokens of the words it holds whole and leaves inside its
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starweave.llm.common import IS_SPACE, bytes_of, pieces, small_batches, utf8, words_of
+from starweave.llm.merges import Merges, plain
 
 #: Compiled paths a worker keeps (some 180 bytes each); beyond that, those of a batch last for the batch.
 MOST_PATHS = 200_000
@@ -64,15 +67,29 @@ class Transducer:
         self.library.no_truncation()
         self.library.no_padding()
         self.with_ids = with_ids
+        self.merges = Merges(path)
         self.number: dict[bytes, int] = {}  # in order of compilation
         self.kept = 0
         self.sizes = np.zeros(1024, dtype=np.int64)
         self.begins = np.zeros(1024, dtype=np.int64)
         self.ids = np.zeros(4096, dtype=np.uint32)
 
+    def _tokens(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The words in another order, their numbers of tokens, and these: by the compiled merges where they do."""
+        easy, hard = [], []
+        for word, text in zip(words, [w.decode("utf-8") for w in words]):
+            (easy if self.merges.usable and plain(text) else hard).append((word, text))
+        sizes, ids = self.merges.words([t for _, t in easy]) if easy else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
+        if hard:
+            runs = self.library.encode_batch_fast([t for _, t in hard], add_special_tokens=False)
+            more = np.fromiter(map(len, runs), dtype=np.int64, count=len(hard))
+            sizes = np.concatenate([sizes, more])
+            rest = np.fromiter(chain.from_iterable(r.ids for r in runs), dtype=np.uint32, count=int(more.sum()))
+            ids = np.concatenate([ids, rest])
+        return [w for w, _ in easy + hard], sizes, ids
+
     def _compile(self, words: list[bytes]) -> None:
-        runs = self.library.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-        sizes = np.fromiter(map(len, runs), dtype=np.int64, count=len(words))
+        words, sizes, ids = self._tokens(words)
         at, most = len(self.number), len(self.number) + len(words)
         if most > len(self.sizes):
             self.sizes, self.begins = np.resize(self.sizes, 2 * most), np.resize(self.begins, 2 * most)
@@ -80,11 +97,9 @@ class Transducer:
         used = int(self.begins[at - 1] + self.sizes[at - 1]) if at else 0
         self.begins[at:most] = used + np.cumsum(sizes) - sizes
         if self.with_ids:
-            total = int(sizes.sum())
-            if used + total > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * (used + total))
-            ids = chain.from_iterable(r.ids for r in runs)
-            self.ids[used : used + total] = np.fromiter(ids, dtype=np.uint32, count=total)
+            if used + len(ids) > len(self.ids):
+                self.ids = np.resize(self.ids, 2 * (used + len(ids)))
+            self.ids[used : used + len(ids)] = ids
         self.number.update(zip(words, range(at, most)))
 
     def paths(self, words: list[bytes]) -> np.ndarray:
@@ -95,7 +110,8 @@ class Transducer:
         if new:
             short = [w for w in new if len(w) <= LONGEST_PATH]
             self.kept = min(MOST_PATHS, self.kept + len(short))
-            self._compile(short + [w for w in new if len(w) > LONGEST_PATH])
+            self._compile(short)
+            self._compile([w for w in new if len(w) > LONGEST_PATH])
         return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
 
     def words(self, column: pa.Array) -> Words:
