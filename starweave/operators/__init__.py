@@ -30,6 +30,7 @@ from starweave.operators.loads import (
     upsert,
     write_table,
 )
+from starweave.operators.parts import create_ranges, merge_buckets, merge_ranges, read_parts
 from starweave.operators.quality import (
     DataQualityError,
     TableChecks,
@@ -39,21 +40,28 @@ from starweave.operators.quality import (
     fk_report,
     report,
     table_report,
+    write_checked,
 )
+from starweave.operators.quality_state import Reference, refresh, state_report
+from starweave.operators.sequences import extend_ids
+from starweave.operators.versions import publish, read_current, truncate_load
 
 __all__ = [
     "DataQualityError",
+    "Reference",
     "TableChecks",
     "anti_join",
     "append",
     "append_new",
     "assert_passed",
     "column_type_ok",
+    "create_ranges",
     "dedupe",
     "dense_ids",
-    "duplicate_keys",
     "distinct_rows",
     "drop_columns",
+    "duplicate_keys",
+    "extend_ids",
     "first_per_key",
     "fk_report",
     "insert_absent",
@@ -61,17 +69,26 @@ __all__ = [
     "insert_not_in",
     "keep_where",
     "keyed_overwrite",
+    "merge_buckets",
+    "merge_ranges",
     "natural_key_join",
     "nonblank",
     "not_in",
     "orphans",
     "project",
+    "publish",
     "query_layout",
+    "read_current",
     "read_if_exists",
+    "read_parts",
+    "refresh",
     "report",
+    "state_report",
     "table_report",
     "truncate_insert",
+    "truncate_load",
     "upsert",
     "with_columns",
+    "write_checked",
     "write_table",
 ]

@@ -10,6 +10,8 @@ from starweave.sources.readers import (
     read_parquet,
     read_table,
     templated_path,
+    with_arrival,
+    with_line_number,
     with_lineage,
 )
 from starweave.sources.schemas import create_all, drop_all, table_schema
@@ -27,5 +29,7 @@ __all__ = [
     "read_table",
     "table_schema",
     "templated_path",
+    "with_arrival",
+    "with_line_number",
     "with_lineage",
 ]

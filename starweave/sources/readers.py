@@ -80,10 +80,11 @@ def read_json_mapped(
     Only mapped fields are read. Without ``raw_schema`` each top-level field
     is declared as a string; pass a nested ``raw_schema`` to map dotted paths
     such as ``song.title``. ``on_error="fail"`` ends the load on a broken line
-    or a value that does not cast; ``"null"`` makes them null.
+    or a value that does not cast; ``"null"`` makes them null; ``"reject"``
+    makes such a record a row of nulls with its text in the column
+    ``_rejected`` (the line, or the mapped fields of one whose values do not
+    cast), which is null for sound records.
     """
-    if on_error not in ("fail", "null"):
-        raise ValueError("on_error: fail or null")
     if raw_schema is None:
         raw_schema = T.StructType()
         for field, _, _ in mapping:
@@ -93,6 +94,15 @@ def read_json_mapped(
                 raw_schema.add(field, T.StringType())
     r = _reader(spark, raw_schema, False, None, options, on_error)
     df = r.json(paths if isinstance(paths, str) else list(paths))
+    if on_error == "reject":
+        bad = F.lit(False)
+        for field, _, kind in mapping:
+            bad = bad | (F.col(field).isNotNull() & F.col(field).try_cast(kind).isNull())
+        fields = F.to_json(F.struct(*[F.col(f).cast("string").alias(f.replace(".", "_")) for f, _, _ in mapping]))
+        rejected = F.coalesce(F.col(REJECTED), F.when(bad, fields))
+        df = df.withColumn(REJECTED, rejected)
+        sound = [F.when(F.col(REJECTED).isNull(), F.col(f).try_cast(t)).alias(c) for f, c, t in mapping]
+        return df.select(*sound, REJECTED)
 
     def value(field: str, kind: str) -> Column:
         cast = F.col(field).try_cast(kind)
