@@ -39,7 +39,7 @@ def test_every_plain_letter_and_random_words(machine, library):
     rng = random.Random(3)
     words = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 15))) for _ in range(5000)]
     pairs = [a + b for a in letters for b in "aÉ'1.ž"]
-    check(machine, library, letters + pairs + words + ["it's", "I'LL", "x'ſ"[:3], "'''s", "aaaa" * 90, "1234", "a1b2", "...", "<>|"])
+    check(machine, library, letters + pairs + words + ["it's", "I'LL", "'''s", "aaaa" * 90, "1234", "a1b2", "...", "<>|"])
 
 
 def test_every_word_of_the_documents(machine, library):
