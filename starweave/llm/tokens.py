@@ -21,7 +21,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 from itertools import accumulate, chain
 
 import numpy as np
@@ -33,11 +33,11 @@ from starweave.llm.common import IS_SPACE, bytes_of, pieces, small_batches, utf8
 from starweave.llm.merges import Merges, plain
 
 #: Compiled paths a worker keeps (some 180 bytes each); beyond that, those of a batch last for the batch.
-MOST_PATHS = 200_000
+MOST_PATHS = 100_000
 #: Longer words are compiled for a batch only.
 LONGEST_PATH = 48
 #: Bytes of text whose words are looked up together.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 #: Characters of a chunk.
 CHUNK = 65_536
 
@@ -60,12 +60,7 @@ class Transducer:
     """Emitted tokens of words, compiled on first sight."""
 
     def __init__(self, path: str, with_ids: bool):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path = path
         self.with_ids = with_ids
         self.merges = Merges(path)
         self.number: dict[bytes, int] = {}  # in order of compilation
@@ -74,6 +69,17 @@ class Transducer:
         self.begins = np.zeros(1024, dtype=np.int64)
         self.ids = np.zeros(4096, dtype=np.uint32)
 
+    @cached_property
+    def library(self):
+        """The tokenizers library, loaded for the first word that needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        return library
+
     def _tokens(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The words in another order, their numbers of tokens, and these: by the compiled merges where they do."""
         easy, hard = [], []
