@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
+from xxhash import xxh3_64_intdigest
 
 from starweave.llm.common import bytes_of, mixed, pieces, sampled, small_batches, stored, utf8
 
@@ -29,7 +30,7 @@ from starweave.llm.common import bytes_of, mixed, pieces, sampled, small_batches
 SIZE, SAMPLE = 1 << 18, 10_000
 #: A feature must be in so many of the sampled texts.
 SEEN = 3
-#: Bytes of a word that its hash takes.
+#: Bytes of a word that are hashed side by side with other words'; the rest of a longer word is hashed on its own.
 LONGEST = 48
 #: Rounds of learning, weight decay, smoothing of shares, and the log ratio under which a feature is left out.
 ROUNDS, DECAY, SMOOTH, CLEAR = 80, 3e-4, 0.5, 1.5
@@ -79,6 +80,17 @@ def swapped(text: str) -> str | None:
     return out if n else None
 
 
+def _word_end(data: np.ndarray, at: int, limit: int) -> int:
+    """Where the word that goes on at ``at`` ends, looked for in growing steps."""
+    step = 256
+    while at < limit:
+        other = np.flatnonzero(~_LETTER[_LOWER[data[at : min(limit, at + step)]]])
+        if len(other):
+            return at + int(other[0])
+        at, step = min(limit, at + step), 2 * step
+    return limit
+
+
 def features(column: pa.Array, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """``(row, feature)`` pairs of a binary column, each once; ``of`` marks the features that count.
 
@@ -109,6 +121,10 @@ def features(column: pa.Array, of: np.ndarray | None = None) -> tuple[np.ndarray
             on = at < limit[live]
             on[on] = _LETTER[_LOWER[data[at[on]]]]
             live, at = live[on], at[on]
+        for k, a in zip(live.tolist(), at.tolist()):
+            rest = _LOWER[data[a : _word_end(data, a, int(limit[k]))]]
+            word[k] = mixed(word[k : k + 1] ^ np.uint64(xxh3_64_intdigest(rest.tobytes())))[0]
+            length[k] += len(rest)
         stem = np.where(length >= 4, stem, word)
         each = np.concatenate([mixed(word), mixed(stem ^ np.uint64(0x5555))]) % np.uint64(SIZE)
         each, row = each.astype(np.int64), np.concatenate([row, row])

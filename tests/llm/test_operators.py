@@ -468,6 +468,16 @@ def test_toxicity_holds_out_and_balances(spark):
     assert toxicity.score(docs.limit(0), nothing).count() == 0
 
 
+def test_long_words_count_whole():
+    same = "ü" * 60
+    texts = [f"{same}{tail}".encode() for tail in ("", "x", "y", "yy" * 400, "yy" * 400 + "z")] + [f"{same}X!".encode()]
+    found = [set(toxicity.features(pa.array([t], pa.binary()))[1].tolist()) for t in texts]
+    assert len({frozenset(f) for f in found}) == 5 and found[1] == found[5]
+    row, feature = toxicity.features(pa.array([b" ".join(texts), *texts], pa.binary()))
+    for i, f in enumerate(found, 1):
+        assert set(feature[row == i].tolist()) == f
+
+
 def test_held_out_rows_are_not_learned(spark):
     docs = spark.createDataFrame([(i, f"word{i % 7} plain text", "s") for i in range(300)], SCHEMA)
     labels = [(i, i % 2) for i in range(300)]
