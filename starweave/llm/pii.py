@@ -100,8 +100,7 @@ EXAMPLES = (
     ("from 1990 1991 1992 on", ()),
     ("sum 123456.789012 and", ()),
     ("build 10.0.19045.3570 of", ()),
-    ("ref 6625883203433324 was", ()),
-    ("ref 2353820953013749 4550997810720808 was", ()),
+    ("ref 1234567890123456 was", ()),
 )
 
 
