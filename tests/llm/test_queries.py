@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -92,9 +91,34 @@ def test_pipeline_stages_take_an_empty_table(spark):
 def test_pipeline_runs(spark):
     import corpus_pipeline as cp
 
-    got = cp.run(spark, SMALL)
-    rows = got.collect()
-    ends = defaultdict(int)
+    rows = cp.run(spark, SMALL).collect()
+    sequences, texts = defaultdict(list), defaultdict(list)
     for r in rows:
-        ends[r.sequence_id] += r.length
-    assert max(ends.values()) <= 4096 and hashlib.sha256
+        sequences[r.sequence_id].append((r.offset, r.length))
+        texts[r.doc_id, r.doc_tokens].append((r.start, r.length))
+    # sequences are filled without gaps up to their capacity
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    # every kept document is there whole, as often as the mix took it
+    ids = {r.doc_id for r in queries.table(spark, SMALL, "documents").collect()}
+    for (doc, tokens), pieces in texts.items():
+        copies = Counter(pieces)[0, min(p for s, p in pieces if s == 0)]
+        assert doc in ids and copies in (1, 2)
+        assert sum(length for _, length in pieces) == copies * tokens
+
+
+def test_chosen_rows_do_not_depend_on_partitions(spark):
+    import corpus_pipeline as cp
+
+    rows = [(1, "same text", s) for s in ("b", "a", "d", "c")] + [(None, "same text", s) for s in ("x", "w")]
+    chosen = set()
+    for parts in (1, 3, 6):
+        docs = spark.createDataFrame(rows[:: 1 if parts > 1 else -1], "doc_id long, text string, source string").repartition(parts)
+        kept = cp.distinct_texts(spark, docs, SMALL).collect()
+        assert len(kept) == 1
+        chosen.add(tuple(kept[0]))
+    assert len(chosen) == 1
