@@ -23,7 +23,8 @@ def _chosen(docs: DataFrame, key: Column, keep: DataFrame) -> DataFrame:
     wanted = keep.select(F.col("doc_id").alias("want_id"), F.col("key").alias("want_key"))
     match = F.col("id").eqNullSafe(F.col("want_id")) & (F.col("key") == F.col("want_key"))
     rows = rows.join(wanted, match, "left_semi")
-    first = F.row_number().over(W.partitionBy("id", "key").orderBy(F.lit(0)))
+    # rows of one id and text may differ elsewhere: their own hash decides, so a retried task picks the same one
+    first = F.row_number().over(W.partitionBy("id", "key").orderBy(F.xxhash64("row")))
     return rows.withColumn("n", first).where("n = 1").select("row.*")
 
 
