@@ -1,11 +1,18 @@
 """Toxicity by a counterfactually regularised linear classifier.
 
 Features are hashed: each distinct word of a text, lower-cased in A-Z, and its
-first four bytes. The loss is logistic; for every labelled text that names an
-identity group, the text with the term swapped for another of its set is
-featurised too, and the squared difference of the two scores is a penalty.
-What a score takes from naming a group is thereby reduced, not what it takes
-from the words around it.
+first four bytes. The loss is logistic; every labelled text has a counterfactual
+pair, and the squared difference of the pair's scores is a penalty. For a text
+that names an identity group the pair is the text and the text with its terms
+swapped for others of their sets. Any other text is paired with itself in a
+neutral frame that mentions a group: two terms of one set, chosen by the
+text's hash, added to it in turn. So the penalty acts on every corpus, also on
+the words and stems that terms share with others. What a score takes from naming a group is
+thereby reduced, not what it takes from the words around it.
+
+Features of identity terms are learnable from the first text that has them
+(other features must be clear and frequent), so that a bias of the labels
+would show and the penalty has to undo it.
 
 Learning uses a bounded sample of labelled rows (``sample``); scoring reads
 every whole text, vectorised over the bytes of a batch.
@@ -16,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +61,7 @@ IDENTITY = (
     ("femmes", "hommes"),
     ("chrétiens", "musulmans", "juifs"),
 )
-OTHER = {term: terms[(i + 1) % len(terms)] for terms in IDENTITY for i, term in enumerate(terms)}
-TERMS = re.compile(r"(?<!\w)(" + "|".join(sorted(OTHER, key=len, reverse=True)) + r")(?!\w)", re.IGNORECASE)
+Sets = tuple[tuple[str, ...], ...]
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -74,12 +81,30 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
 
 
-def swapped(text: str) -> str | None:
+@cache
+def _swaps(identity: Sets) -> tuple[dict[str, str], re.Pattern]:
+    """Each term's next of its set, and the pattern of all terms."""
+    other = {term: terms[(i + 1) % len(terms)] for terms in identity for i, term in enumerate(terms)}
+    return other, re.compile(r"(?<!\w)(" + "|".join(sorted(map(re.escape, other), key=len, reverse=True)) + r")(?!\w)", re.IGNORECASE)
+
+
+def swapped(text: str, identity: Sets = IDENTITY) -> str | None:
     """The text with each identity term swapped for the next of its set; None if there is none."""
-    out, n = TERMS.subn(lambda m: OTHER[m[0].lower()], text)
+    if not identity:
+        return None
+    other, terms = _swaps(identity)
+    out, n = terms.subn(lambda m: other.get(m[0].lower(), m[0]), text)
     return out if n else None
 
 
+def framed(text: str, identity: Sets) -> tuple[str, str]:
+    """Two terms of one set, to be mentioned after the text in turn; both chosen by its hash."""
+    turn = xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+    terms = identity[turn % len(identity)]
+    at = turn // len(identity) % len(terms)
+    return terms[at], terms[(at + 1) % len(terms)]
+
+
 def _word_end(data: np.ndarray, at: int, limit: int) -> int:
     """Where the word that goes on at ``at`` ends, looked for in growing steps."""
     step = 256
@@ -139,22 +164,45 @@ def features(column: pa.Array, of: np.ndarray | None = None) -> tuple[np.ndarray
     return pair // SIZE, pair % SIZE
 
 
-def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(toxic, own, swap)``: features as packed 32-bit numbers; swap is null without an identity term."""
+def _packed(column: pa.Array) -> list[np.ndarray]:
+    """Features of each row."""
+    row, feature = features(column)
+    ends = np.searchsorted(row, np.arange(len(column) + 1))
+    return [feature[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def _binary(each: list[np.ndarray]) -> pa.Array:
+    return pa.array([e.astype("<i4").tobytes() for e in each], pa.binary())
 
-    def packed(column: pa.Array) -> list[bytes]:
-        row, feature = features(column)
-        ends = np.searchsorted(row, np.arange(len(column) + 1))
-        return [feature[a:b].astype("<i4").tobytes() for a, b in zip(ends[:-1], ends[1:])]
 
-    for batch in pieces(batches, "text"):
-        other = [swapped(t or "") for t in batch["text"].to_pylist()]
-        swap = packed(pa.array([(t or "").encode() for t in other], pa.binary()))
-        swap = [s if t is not None else None for s, t in zip(swap, other)]
-        yield pa.RecordBatch.from_arrays(
-            [batch["toxic"], pa.array(packed(utf8(batch["text"])), pa.binary()), pa.array(swap, pa.binary())],
-            names=["toxic", "own", "swap"],
-        )
+def named(identity: Sets) -> dict[str, np.ndarray]:
+    """Features of each identity term."""
+    terms = sorted({t for s in identity for t in s})
+    return dict(zip(terms, _packed(pa.array([t.encode() for t in terms], pa.binary()))))
+
+
+def _featurise(identity: Sets):
+    """``(toxic, own, gone, come)``: features as packed 32-bit numbers; what the counterfactual pair's texts have apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = named(identity)
+        for batch in pieces(batches, "text"):
+            texts = [t or "" for t in batch["text"].to_pylist()]
+            own = _packed(utf8(batch["text"]))
+            other = [swapped(t, identity) for t in texts]
+            swap = _packed(pa.array([(t or "").encode() for t in other], pa.binary()))
+            base = list(own)
+            for i, t in enumerate(other):
+                if t is None and identity:
+                    a, b = framed(texts[i], identity)
+                    base[i], swap[i] = np.union1d(own[i], of[a]), np.union1d(own[i], of[b])
+            if not identity:
+                swap = base
+            gone, come = [np.setdiff1d(a, b) for a, b in zip(base, swap)], [np.setdiff1d(b, a) for a, b in zip(base, swap)]
+            columns = [batch["toxic"], _binary(own), _binary(gone), _binary(come)]
+            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "own", "gone", "come"])
+
+    return run
 
 
 class Rows:
@@ -179,8 +227,11 @@ class Rows:
         return out
 
 
-def fit(toxic: np.ndarray, own: list[bytes], swap: list[bytes | None], rounds: int = ROUNDS, decay: float = DECAY) -> Model:
-    """Adam on the penalised loss over all rows.
+def fit(
+    toxic: np.ndarray, own: list[bytes], gone: list[bytes], come: list[bytes], identity: Sets = IDENTITY,
+    balance: float = BALANCE, rounds: int = ROUNDS, decay: float = DECAY,
+) -> Model:
+    """Adam on the penalised loss over all rows; ``gone`` and ``come`` are what each row's counterfactual pair has apart.
 
     Features are scaled by the log ratio of their smoothed shares in toxic and
     in other texts (Wang and Manning, 2012), so that words common to both
@@ -196,18 +247,18 @@ def fit(toxic: np.ndarray, own: list[bytes], swap: list[bytes | None], rounds: i
     n_bad = toxic.sum()
     ratio = np.log((bad + SMOOTH) / (n_bad + 2 * SMOOTH)) - np.log((seen - bad + SMOOTH) / (len(toxic) - n_bad + 2 * SMOOTH))
     scale = np.where((seen >= SEEN) & (np.abs(ratio) > CLEAR), ratio, 0.0)
-    x = Rows(own, scale)
-    pairs = [i for i, s in enumerate(swap) if s is not None]
-    a, b = Rows([own[i] for i in pairs], scale), Rows([swap[i] for i in pairs], scale)
+    group = np.unique(np.concatenate([*named(identity).values(), np.zeros(0, np.int64)]))
+    group = group[seen[group] > 0]
+    scale[group] = np.where(np.abs(ratio[group]) > CLEAR, ratio[group], np.copysign(CLEAR, ratio[group]))
+    x, a, b = Rows(own, scale), Rows(gone, scale), Rows(come, scale)
     share = min(0.95, max(0.05, toxic.mean()))
     weights[-1] = np.log(share / (1 - share))
     first, second = np.zeros_like(weights), np.zeros_like(weights)
     for t in range(1, rounds + 1):
         error = 1 / (1 + np.exp(-np.clip(x.dot(weights), -500, 500))) - toxic
         slope = x.back(error) / x.n
-        if pairs:
-            apart = a.dot(weights) - b.dot(weights)
-            slope += 2 * BALANCE * (a.back(apart) - b.back(apart)) / x.n
+        apart = a.dot(weights) - b.dot(weights)
+        slope += 2 * balance * (a.back(apart) - b.back(apart)) / x.n
         slope[:-1] += decay * weights[:-1]
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope * slope
@@ -224,13 +275,16 @@ def held_out(doc_id):
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "toxic", sample: int = SAMPLE,
+    label_col: str = "toxic", sample: int = SAMPLE, identity: Sets = IDENTITY, balance: float = BALANCE,
 ) -> Model:
     """A model from at most ``sample`` labelled rows, in an order fixed by a hash of the id.
 
     Held-out rows, null labels and null ids are left out; an id with several
     labels is toxic if one says so. Without labelled rows every text scores
-    the same low value.
+    the same low value. ``identity`` gives the sets of terms that stand for each
+    other (lower case), ``balance`` the weight of the counterfactual penalty.
+    Null and empty texts are learned from as texts without words; a very long
+    one is hashed in bounded blocks. Other columns are not read.
     """
     small_batches(docs)
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic"))
@@ -240,19 +294,20 @@ def train(
     known = stored(sampled(known, F.xxhash64(F.lit("toxicity"), "id"), sample), "toxicity-labels")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     chosen = texts.join(known, "id").select("toxic", "text")
-    rows = stored(chosen.mapInArrow(_featurise, "toxic int, own binary, swap binary"), "toxicity-features")
+    rows = stored(chosen.mapInArrow(_featurise(identity), "toxic int, own binary, gone binary, come binary"), "toxicity-features")
     # an id may have several rows; the sample stays within its bound
     rows = rows.orderBy(F.xxhash64("own"), "toxic").limit(sample).collect()
     rows.sort(key=lambda r: (r.toxic, r.own))
     toxic = np.array([float(r.toxic > 0) for r in rows])
-    return fit(toxic, [r.own for r in rows], [r.swap for r in rows])
+    return fit(toxic, *([r[c] for r in rows] for c in ("own", "gone", "come")), identity, balance)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with its score between 0 and 1 in ``out`` (a column of that name is replaced).
 
-    Null and empty texts get the score of a text without known words. Other
-    columns pass through whatever they are called.
+    Null and empty texts get the score of a text without known words. A very
+    long text is read whole, in bounded blocks. Repeated rows score alike; an
+    empty table gives an empty result. Other columns pass through whatever they are called.
     """
     rows = docs.drop(out) if out != text_col else docs
     small_batches(docs)

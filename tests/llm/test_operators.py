@@ -436,6 +436,41 @@ def test_packing_empty(spark):
 # op 8
 
 
+def test_toxicity_penalty_undoes_a_bias_of_the_labels(spark):
+    """Toxic texts name one group more often than others: without the penalty the name alone counts."""
+    rng, rows, labels = np.random.default_rng(5), [], []
+    for i in range(800):
+        w = list(rng.choice(["river", "stone", "paper", "window", "garden", "cloud", "bread"], 12))
+        if i % 4 == 0:
+            w[3] = "scum" if i % 3 else "stone"
+            w[5] = "muslim"
+        elif i % 9 == 0:
+            w[5] = "christian"
+        rows.append((i, " ".join(w), "s"))
+        labels.append((i, int(i % 4 == 0)))
+    docs, known = table(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    asked = spark.createDataFrame([(0, "the muslim garden"), (1, "the christian garden"), (2, "scum garden")], "doc_id long, text string")
+
+    def scores(**options):
+        model = toxicity.train(docs, known, **options)
+        return model, [r.score for r in toxicity.score(asked, model).orderBy("doc_id").collect()]
+
+    _, plain = scores(balance=0.0)
+    _, fair = scores()
+    assert plain[0] - plain[1] > 0.3 and plain[0] >= 0.3
+    assert abs(fair[0] - fair[1]) < 0.1 and fair[2] > plain[1]
+    # a corpus that names no group but shares the stem of a term is balanced too, by mentions in a neutral frame
+    other = docs.withColumn("text", F.regexp_replace("text", "muslim|christian", "muslin"))
+    one, two = (toxicity.train(other, known, balance=b) for b in (0.0, 1.0))
+    stem = toxicity.named((("muslim",),))["muslim"]
+    assert np.abs(two.weights[stem]).max() < np.abs(one.weights[stem]).max()
+    # the sets are a parameter
+    none = toxicity.train(docs, known, identity=())
+    custom = toxicity.train(docs, known, identity=(("muslim", "christian"),))
+    assert none.weights[stem].max() > custom.weights[stem].max()
+    assert toxicity.swapped("A river", (("river", "lake"),)) == "A lake" and toxicity.swapped("river", ()) is None
+
+
 def test_toxicity_holds_out_and_balances(spark):
     rng = np.random.default_rng(2)
     terms = ["women", "men", "muslim", "christian"]
