@@ -354,6 +354,38 @@ def test_windows_around_a_frequent_line_spread_over_buckets():
     assert max(held.values()) < 3 * sum(held.values()) / buckets
 
 
+def test_batches_of_sources_are_found_as_spark_deals_them(spark):
+    rng = np.random.default_rng(3)
+    order, text = (rng.integers(-(1 << 63), (1 << 63) - 1, 300) for _ in range(2))
+    order[:3], text[:3] = (2**63 - 1, 0, -1), (0, -1, 5)
+    df = spark.createDataFrame(list(zip(order.tolist(), text.tolist())), "a long, b long")
+    want = [r.h for r in df.select(F.pmod(F.xxhash64("a", "b"), F.lit(37)).alias("h")).collect()]
+    assert substrings.batch_of(order, text, 37).tolist() == want
+
+
+def test_buckets_are_dealt_in_one_sort():
+    bucket = np.array([5, 2, 5, 9, 2, 2], dtype=np.uint64)
+    assert [(b, i.tolist()) for b, i in substrings._dealt(bucket)] == [(2, [1, 4, 5]), (5, [0, 2]), (9, [3])]
+    assert list(substrings._dealt(bucket[:0])) == []
+
+
+def test_spans_that_the_source_does_not_confirm_remove_nothing():
+    passage = " ".join(f"p{i}" for i in range(30))
+    schema = pa.schema([("doc_id", pa.int64()), ("order_id", pa.int64()), ("text_hash", pa.int64()), ("text", pa.string())])
+    rows = pa.table([[1, 2], [1, 2], [10, 20], [f"{passage} one two", f"zero {passage}"]], schema=schema)
+    key, answers = (pa.scalar(0),), None
+    asked = substrings._ask(20, 1)(key, rows)
+    answers = substrings._repeats(key, asked)
+    sources = substrings._sources(key, substrings._edges(20, 1)(key, rows, answers))
+    claims = substrings._claims(20, 1, 1)(key, rows, answers, sources)
+    good = substrings._remove(20)(key, rows, substrings._verify(20)(key, rows, claims))
+    assert good["n_removed"].to_pylist() == [0, 30] and good["spans"].to_pylist()[1][0]["source_id"] == 1
+    # the words at the source are others than claimed
+    other = rows.set_column(3, "text", pa.array([passage.replace("p7 ", "q7 ") + " one two", f"zero {passage}"]))
+    bad = substrings._remove(20)(key, rows, substrings._verify(20)(key, other, claims))
+    assert bad["n_removed"].to_pylist() == [0, 0] and bad["spans"].to_pylist() == [[], []]
+
+
 def test_repeats_empty(spark):
     assert substrings.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
