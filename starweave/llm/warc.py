@@ -253,6 +253,10 @@ class Files(InputPartition):
     paths: tuple[str, ...]
 
 
+#: How the writer's files begin, and its lists of committed ones.
+PART, COMMITTED = "part-", "_committed-"
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, schema: StructType, path: str, partition_bytes: int):
         self.columns, self.path, self.bytes = schema, path, partition_bytes
@@ -285,6 +289,14 @@ class WarcReader(DataSourceReader):
         info = store.get_file_info(top)
         found = [info] if info.is_file else store.get_file_info(fs.FileSelector(top, recursive=True))
         files = [f for f in found if f.is_file and not any(p.startswith(("_", ".")) for p in PurePosixPath(f.path).relative_to(top).parts)]
+        if not info.is_file:
+            listed: set[str] = set()
+            for f in found:
+                if PurePosixPath(f.path).name.startswith(COMMITTED):
+                    with store.open_input_stream(f.path, compression=None) as lines:
+                        folder = PurePosixPath(f.path).parent
+                        listed.update(f"{folder}/{n}" for n in lines.read().decode().split())
+            files = [f for f in files if not PurePosixPath(f.path).name.startswith(PART) or f.path in listed]
         groups, held = [[]], 0
         for f in sorted(files, key=lambda f: f.path):
             if held and held + f.size > self.bytes:
@@ -317,21 +329,26 @@ class Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceArrowWriter):
-    """Tasks write under ``_staging``; the commit moves the files of the attempts that won."""
+    """Tasks write files under names of their own; the commit lists those of the attempts that won.
+
+    Nothing is moved (on object stores a move is a copy). A reader takes a file
+    with such a name only if a list has it, so what lost attempts, failed or
+    running jobs leave is not read. Files under other names always count.
+    """
 
     def __init__(self, path: str, file_bytes: int):
         self.path, self.bytes = path, file_bytes
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, top = filesystem(self.path)
-        store.create_dir(f"{top}/_staging", recursive=True)
+        store.create_dir(top, recursive=True)
         paths, out, held = [], None, 0
         for batch in iterator:
             for row in batch.to_pylist():
                 if out is None or held >= self.bytes:
                     if out is not None:
                         out.close()
-                    paths.append(f"{top}/_staging/{uuid.uuid4().hex}.warc.gz")
+                    paths.append(f"{top}/{PART}{uuid.uuid4().hex}.warc.gz")
                     out, held = store.open_output_stream(paths[-1], compression=None), 0
                 data = member(record(row))
                 out.write(data)
@@ -343,11 +360,12 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         store, top = filesystem(self.path)
         store.create_dir(top, recursive=True)
-        for message in messages:
-            for path in message.paths if message else ():
-                store.move(path, f"{top}/{PurePosixPath(path).name}")
-        if store.get_file_info(f"{top}/_staging").type != fs.FileType.NotFound:
-            store.delete_dir(f"{top}/_staging")
+        names = [PurePosixPath(path).name for message in messages if message for path in message.paths]
+        # under a name that readers don't look for until it is whole
+        name = uuid.uuid4().hex
+        with store.open_output_stream(f"{top}/_open-{name}", compression=None) as out:
+            out.write("".join(f"{n}\n" for n in names).encode())
+        store.move(f"{top}/_open-{name}", f"{top}/{COMMITTED}{name}")
 
     def abort(self, messages: list) -> None:
         store, top = filesystem(self.path)
@@ -390,7 +408,9 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Of rows with equal payloads of at least ``least`` bytes the one with the
     largest id is a response, the others revisit it. Null html is the empty
     payload. Rows that tie for the largest id are all responses; a null id is
-    smaller than any other, and where all are null all are responses.
+    smaller than any other, and where all are null all are responses. A very
+    long payload is one record, held whole by its task. Other columns are not
+    read, whatever they are called; an empty table gives no records.
     """
     payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
@@ -413,7 +433,11 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
 
 def archive(pages: DataFrame, path: str, **columns) -> None:
-    """Write the records of ``pages`` as WARC files under ``path``."""
+    """Write the records of ``pages`` (see ``records`` for nulls, ties and repeats) as WARC files under ``path``.
+
+    An empty table writes no archive, and reading ``path`` gives no records.
+    Files of earlier jobs stay; a job that fails adds nothing.
+    """
     pages.sparkSession.dataSource.register(WarcSource)
     records(pages, **columns).write.format("warc").mode("append").save(path)
 

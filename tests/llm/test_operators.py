@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -149,7 +151,6 @@ def test_warc_round_trip(spark):
 
 def test_warc_reads_plain_and_foreign_gzip(spark):
     import gzip
-    import io
 
     raw = b"".join(
         warc.record({"record_type": "response", "record_id": f"<urn:page:{i}>", "target_uri": None, "date": "d", "payload_digest": "A",
@@ -162,6 +163,24 @@ def test_warc_reads_plain_and_foreign_gzip(spark):
     assert [r["payload_bytes"] for r in zipped] == [0, 1, 2, 3, 4]
 
 
+def test_warc_reads_only_committed_files(spark):
+    path = scratch_path(spark, "warc-commit")
+    pages = spark.createDataFrame([(i, "u", f"page {i}") for i in range(40)], "page_id long, url string, html string").repartition(4)
+    warc.archive(pages, path)
+    files = sorted(f.name for f in Path(path).iterdir() if not f.name.startswith("."))
+    lists, parts = [f for f in files if f.startswith("_")], [f for f in files if not f.startswith("_")]
+    assert len(lists) == 1 and lists[0].startswith(warc.COMMITTED) and all(f.startswith(warc.PART) for f in parts)
+    # a file of a lost attempt is there but not listed; a foreign archive has another name
+    data = (Path(path) / parts[0]).read_bytes()
+    (Path(path) / f"{warc.PART}{'0' * 32}.warc.gz").write_bytes(data)
+    assert warc.read(spark, path).count() == 40
+    warc.archive(pages.where("page_id < 3").withColumn("html", F.lit("more")), path)
+    assert warc.read(spark, path).count() == 43
+    extra = len(list(warc.read_records(io.BytesIO(data), True, lambda r: True, False)))
+    (Path(path) / "foreign.warc.gz").write_bytes(data)
+    assert extra and warc.read(spark, path, payload=False).count() == 43 + extra
+
+
 def test_warc_empty(spark):
     path = scratch_path(spark, "warc-empty")
     warc.archive(spark.createDataFrame([], "page_id long, url string, html string"), path)
