@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +22,21 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
 
 
+#: Lists of the paths that ``stored`` has written, of who asked for them.
+_watching: list[list[str]] = []
+
+
+@contextmanager
+def scratch_tables() -> Iterator[list[str]]:
+    """The paths of tables that ``stored`` writes meanwhile, in order."""
+    used: list[str] = []
+    _watching.append(used)
+    try:
+        yield used
+    finally:
+        _watching[:] = [w for w in _watching if w is not used]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh table in the shared checkpoint folder and read it back.
 
@@ -26,6 +44,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     steps read it instead of computing it again.
     """
     path = scratch_path(df.sparkSession, name)
+    for used in _watching:
+        used.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -62,6 +82,20 @@ def utf8(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.binary()), b"")
 
 
+@cache
+def _trim():
+    """The C library's call that returns freed memory to the system, where there is one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return unused memory of a Python worker: it lives on, and its next task may be another stage's."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim is not None:
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each has at most ``most`` bytes of text, or one row."""
     for batch in batches:
@@ -74,7 +108,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = 2_000_000)
             to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(at, to - at)
             at = to
-    pa.default_memory_pool().release_unused()  # workers live on; the next task may be another stage's
+    give_back()
 
 
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
