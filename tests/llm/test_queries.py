@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 
 from starweave.llm import mixing, queries, toxicity
-from starweave.llm.common import stored
+from starweave.llm.common import scratch_tables, stored
 from tests.conftest import SMALL
 from tests.llm.fixtures import documents, table
 from tests.llm.test_operators import normal, roots, simhash_of
@@ -91,7 +92,11 @@ def test_pipeline_stages_take_an_empty_table(spark):
 def test_pipeline_runs(spark):
     import corpus_pipeline as cp
 
-    rows = cp.run(spark, SMALL).collect()
+    with scratch_tables() as used:
+        rows = cp.run(spark, SMALL).collect()
+    # of all stages but the last only the table that packing reads is left
+    last = max(i for i, p in enumerate(used) if "/pipeline-" in p)
+    assert [p for p in used[: last + 1] if Path(p).exists()] == [used[last]]
     sequences, texts = defaultdict(list), defaultdict(list)
     for r in rows:
         sequences[r.sequence_id].append((r.offset, r.length))
