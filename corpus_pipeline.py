@@ -13,8 +13,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starweave.llm import exact, mixing, packing, simhash, toxicity
-from starweave.llm.common import stored
+from starweave.llm.common import scratch_tables, stored
 from starweave.llm.queries import TOXIC, table, vocabulary
+from starweave.session import discard
 
 
 def _chosen(docs: DataFrame, key: Column, keep: DataFrame) -> DataFrame:
@@ -60,12 +61,22 @@ def distinct_fingerprints(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources at 3:1:2; a document taken twice is two rows."""
+    """The mix of sources at 3:1:2; a document taken twice is two rows.
+
+    Null and empty texts have no words; they are taken as often as their source's
+    certain copies. The null source is one source, the last. Rows that share id and size are taken together.
+    Whole texts are counted; an empty table gives an empty mix.
+    """
     return mixing.repeated(docs, weights=(3, 1, 2), share=1.5, most=2.0)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 4096 tokens."""
+    """Pieces of all documents in sequences of 4096 tokens.
+
+    Null and empty texts are their end token. A very long text is cut into
+    several sequences. Repeated rows, with null ids too, are packed each on its
+    own. Other columns are not read; an empty table gives no pieces.
+    """
     return packing.pack(docs, vocabulary(), end=2, capacity=4096)
 
 
@@ -82,8 +93,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, one after the other."""
+    """The stages over ``documents``, one after the other.
+
+    Intermediate tables are removed once their stage is written; the table that
+    packing reads stays, as its result is computed by the caller.
+    """
+    before: list[str] = []
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_tables() as used:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # the stage is written: what it kept on its way, and the stage before, have no reader any more
+        discard(spark, *before, *used[:-1])
+        before = used[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
