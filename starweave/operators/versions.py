@@ -8,7 +8,7 @@ listed through Hadoop's file system, so any store Spark can write to will do.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,7 +42,7 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
     return spark.read.parquet(path) if path else None
 
 
-def publish(df: DataFrame, base: str, partition_by: Sequence[str] = (), keep: int = 2) -> str:
+def publish(df: DataFrame, base: str, partition_by: Sequence[str] = (), keep: int = 2, options: Mapping[str, str] | None = None) -> str:
     """Write ``df`` as the next version and drop all but the last ``keep``.
 
     One version before the new one stays by default, for readers that have
@@ -50,7 +50,7 @@ def publish(df: DataFrame, base: str, partition_by: Sequence[str] = (), keep: in
     """
     spark, base = df.sparkSession, base.rstrip("/")
     _, top = _versions(spark, base)
-    path = write_table(df, f"{base}/v{top + 1:08d}", mode="error", partition_by=partition_by)
+    path = write_table(df, f"{base}/v{top + 1:08d}", mode="error", partition_by=partition_by, options=options)
     done, _ = _versions(spark, base)
     for old in done[:-keep] if keep else []:
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/v{old:08d}")
@@ -58,9 +58,11 @@ def publish(df: DataFrame, base: str, partition_by: Sequence[str] = (), keep: in
     return path
 
 
-def truncate_load(df: DataFrame, base: str, columns: Sequence[str] | None = None, keep: int = 1) -> str:
+def truncate_load(
+    df: DataFrame, base: str, columns: Sequence[str] | None = None, keep: int = 1, options: Mapping[str, str] | None = None
+) -> str:
     """K6/K7: delete all rows, then insert, as one switch: a failed job leaves the rows of before.
 
     ``columns`` gives the target's column order (the insert is by position).
     """
-    return publish(df.select(*columns) if columns else df, base, keep=keep)
+    return publish(df.select(*columns) if columns else df, base, keep=keep, options=options)

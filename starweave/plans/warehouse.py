@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starweave.functions.text import md5_key
+from starweave.functions.time import start_time
 from starweave.operators.loads import append, append_new, insert_not_in
 from starweave.operators.parts import PART, merge_buckets, read_parts
 from starweave.operators.quality import TableChecks, assert_passed, report
@@ -40,6 +42,8 @@ KEYS = {"users": "user_id", "songs": "song_id", "artists": "artist_id", "time":
 #: Dimensions whose rows all refer to stored keys once: their repeats are checked.
 ONE_ROW_A_KEY = ("upsert", "insert_absent")
 PERIOD = ["year", "month"]
+#: Staged rows and the fact are the bulk of what a load writes.
+COMPACT = {"compression": "zstd"}
 
 
 @dataclass
@@ -92,10 +96,14 @@ def load_warehouse(
 
     # stage (K7): delete all, then load
     for name, rows in (("staging_events", events), ("staging_songs", songs)):
-        staging[name] = truncate_load(rows, staging[name])
+        staging[name] = truncate_load(rows, staging[name], options=COMPACT)
     staged_events = spark.read.parquet(staging["staging_events"])
     staged_songs = spark.read.parquet(staging["staging_songs"])
 
+    plays = next_song(staged_events, page_filter)
+    at = start_time("ts", precision)
+    touched = touched_values(plays.select(F.year(at).alias("year"), F.month(at).alias("month")), PERIOD)
+
     # fact (K5): plain append as in the reference, or idempotent append
     fact = build_songplays(staged_events, staged_songs, how=how, key=key, precision=precision,
                            page_filter=page_filter, key_source=key_source, optional=optional)
@@ -103,18 +111,20 @@ def load_warehouse(
         append(fact, fact_path)
     elif fact_mode == "append_new":
         # the stored fact is partitioned by start year and month; a rerun or
-        # the next hour compares only against the periods it touches
-        dated = fact.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
-        append_new(dated, fact_path, dated.columns, partition_by=PERIOD)
+        # the next hour compares only against the periods it touches, which
+        # the staged plays' start times give; the key and the period are
+        # functions of the row, so rows are told apart without them
+        derived = {"year": F.year("start_time"), "month": F.month("start_time")}
+        dated = fact.withColumns(derived)
+        if key == "md5":
+            derived["songplay_id"] = md5_key("session_id", "start_time")
+        append_new(dated, fact_path, dated.columns, partition_by=PERIOD, touched=touched, derived=derived, options=COMPACT)
         fact = dated
     else:
         raise ValueError("fact_mode must be append or append_new")
     loaded = spark.read.schema(fact.schema).parquet(fact_path)  # declared: no file is opened to learn it
 
     # dimensions; time reads the loaded fact (S12), within the staged period only
-    plays = next_song(staged_events, page_filter)
-    at = F.timestamp_millis("ts").cast("timestamp_ntz")
-    touched = touched_values(plays.select(F.year(at).alias("year"), F.month(at).alias("month")), PERIOD)
     ts = plays.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     if ts.lo is None:
         period = loaded.limit(0)
