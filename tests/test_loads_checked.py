@@ -84,3 +84,15 @@ def test_labels_of_several_formats_in_one_pass(spark, monkeypatch):
     monkeypatch.setattr(travel, "MOST_LABELS", 3)
     with pytest.raises(Exception, match="more than 3 labels"):
         decode_labels(df, formats, {"mode": ("m", "mode")}).collect()
+
+
+def test_a_lookup_does_not_search_the_whole_list(spark):
+    """60,000 codes and 400,000 rows: searching the list for every row took minutes."""
+    import time
+
+    formats = spark.range(60_000).select(F.lit("port").alias("format"), F.col("id").cast("string").alias("code"), F.concat(F.lit("p"), "id").alias("label"))
+    df = spark.range(20_000, 820_000, 2).select(F.col("id").alias("k"))
+    started = time.time()
+    got = decode_labels(df, formats, {"port": ("k", "port", "7")}).groupBy((F.col("port") == F.concat(F.lit("p"), "k")).alias("own"), (F.col("port") == "p7").alias("other")).count()
+    assert {(r.own, r.other): r["count"] for r in got.collect()} == {(True, False): 20_000, (False, True): 380_000}
+    assert time.time() - started < 30
