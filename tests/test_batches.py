@@ -392,3 +392,22 @@ def test_first_rows_by_arrival_do_not_depend_on_splits(spark):
     finally:
         for c, v in before.items():
             spark.conf.set(c, v)
+
+
+def test_sorted_files_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    """More rows make more files, not larger ones, also where a third of the rows are of one day."""
+    from starweave.plans import scale_queries
+
+    day = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 365).cast("int")
+    spark.range(30_000).select(
+        F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("O").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"),
+        F.date_add(F.lit("1995-01-01").cast("date"), day).cast("timestamp_ntz").alias("o_orderdate"), F.lit("5-LOW").alias("o_orderpriority"),
+    ).write.parquet(f"file:{tmp_path}/orders.parquet")
+    written = []
+    write = scale_queries.write_table
+    monkeypatch.setattr(scale_queries, "write_table", lambda df, path, **kw: written.append(path) or write(df, path, **kw))
+    monkeypatch.setattr(scale_queries, "RANGE_ROWS", 1_000, raising=False)
+    row = scale_queries.sorted_layout_files(spark, f"file:{tmp_path}").first()
+    assert (row.n_rows, row.several_files, row.overlapping_files, row.rows_out_of_order) == (30_000, True, 0, 0)
+    sizes = [r["count"] for r in spark.read.parquet(written[0]).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 25 and max(sizes) < 3_000
