@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.operators.loads import MAX_TOUCHED_PARTITIONS, write_table
+from starweave.operators.loads import MAX_TOUCHED_PARTITIONS, in_periods, write_table
 from starweave.operators.parts import bucket_of, read_parts
 from starweave.operators.quality import REPORT_SCHEMA
 from starweave.operators.versions import publish, read_current
@@ -69,27 +69,6 @@ def touched_values(rows: DataFrame, names: Sequence[str], most: int = MAX_TOUCHE
     return [tuple(r) for r in found]
 
 
-def in_periods(names: Sequence[str], periods: Sequence[tuple]) -> Column:
-    """Whether a row is in one of the periods, never null; on directory columns this prunes when files are listed.
-
-    Periods that differ in the last column only are one ``IN`` list.
-    """
-    *front, last = names
-    lists: dict[tuple, list] = {}
-    for period in periods:
-        lists.setdefault(tuple(period[:-1]), []).append(period[-1])
-    out = F.lit(False)
-    for values, ends in lists.items():
-        some = [e for e in ends if e is not None]
-        one = F.coalesce(F.col(last).isin(some), F.lit(False)) if some else F.lit(False)
-        if None in ends:
-            one = one | F.col(last).isNull()
-        for name, value in zip(front, values):
-            one = F.col(name).eqNullSafe(F.lit(value)) & one
-        out = out | one
-    return out
-
-
 def profile(rows: DataFrame, period: Sequence[str], columns: Mapping[str, Column | str]) -> DataFrame:
     """``(period.., column_name, key, n)``: rows per value of each column, in one scan.
 
@@ -110,13 +89,22 @@ def measures(keys: DataFrame, period: Sequence[str]) -> DataFrame:
     )
 
 
-def _without(candidates: DataFrame, references: Mapping[str, Reference]) -> DataFrame:
-    """The candidates ``(.., column_name, key, n)`` whose key has no dimension row."""
+def _without(candidates: DataFrame, references: Mapping[str, Reference], scratch: list[str]) -> DataFrame:
+    """The candidates ``(.., column_name, key, n)`` whose key has no dimension row.
+
+    Only the bare keys meet the dimension. The lost ones are stored (their
+    paths are added to ``scratch``), so that the planner knows their size:
+    where they are few, the candidates stay where they are.
+    """
     spark, out = candidates.sparkSession, None
     for name, reference in references.items():
         mine = candidates.where((F.col("column_name") == F.lit(name)) & F.col("key").isNotNull())
-        known = reference.keys_for(spark, mine.select("key")).select(F.col("key").alias("_known"))
-        left = mine.join(known, F.col("key") == F.col("_known"), "left_anti")
+        wanted = mine.select("key").distinct()
+        known = reference.keys_for(spark, wanted).select(F.col("key").alias("_known"))
+        lost = wanted.join(known, F.col("key") == F.col("_known"), "left_anti").select(F.col("key").alias("_lost"))
+        scratch.append(write_table(lost, scratch_path(spark, "quality-lost")))
+        lost = spark.read.schema(lost.schema).parquet(scratch[-1])
+        left = mine.join(lost, F.col("key") == F.col("_lost"), "left_semi")
         out = left if out is None else out.unionByName(left)
     return candidates.limit(0) if out is None else out
 
@@ -162,11 +150,9 @@ def refresh(
     else:
         others = before.where(~in_periods(period, touched))
         candidates = fresh.select(*names).unionByName(others.select(*names))
-    # candidates are looked up once per column; store them so that they are computed once
-    asked = write_table(candidates, scratch_path(spark, "quality-asked"))
-    candidates = spark.read.schema(candidates.schema).parquet(asked)
-    publish(_without(candidates, references), f"{base}/orphans")
-    discard(spark, asked)
+    lost: list[str] = []  # candidates are stored rows: each column reads its own
+    publish(_without(candidates, references, lost), f"{base}/orphans")
+    discard(spark, *lost)
 
 
 def state_report(
