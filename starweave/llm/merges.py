@@ -168,5 +168,11 @@ class Merges:
         return np.bincount(word, weights=each, minlength=len(words)).astype(np.int64), out
 
 
+def all_plain(words: list[str]) -> list[bool]:
+    """Whether each word is made of letters the merges are compiled for."""
+    whole = PLAIN.fullmatch
+    return [whole(w) is not None and SPECIAL not in w for w in words]
+
+
 def plain(word: str) -> bool:
-    return PLAIN.fullmatch(word) is not None and SPECIAL not in word
+    return all_plain([word])[0]

@@ -22,7 +22,7 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache, cached_property
-from itertools import accumulate, chain
+from itertools import accumulate, chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starweave.llm.common import IS_SPACE, bytes_of, pieces, small_batches, utf8, words_of
-from starweave.llm.merges import Merges, plain
+from starweave.llm.merges import Merges, all_plain
 
 #: Compiled paths a worker keeps (some 180 bytes each); beyond that, those of a batch last for the batch.
 MOST_PATHS = 100_000
@@ -82,17 +82,20 @@ class Transducer:
 
     def _tokens(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The words in another order, their numbers of tokens, and these: by the compiled merges where they do."""
-        easy, hard = [], []
-        for word, text in zip(words, [w.decode("utf-8") for w in words]):
-            (easy if self.merges.usable and plain(text) else hard).append((word, text))
-        sizes, ids = self.merges.words([t for _, t in easy]) if easy else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
-        if hard:
-            runs = self.library.encode_batch_fast([t for _, t in hard], add_special_tokens=False)
-            more = np.fromiter(map(len, runs), dtype=np.int64, count=len(hard))
+        texts = [w.decode("utf-8") for w in words]
+        usual = all_plain(texts) if self.merges.usable else [False] * len(words)
+        done, sizes, ids = list(compress(words, usual)), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        if done:
+            sizes, ids = self.merges.words(list(compress(texts, usual)))
+        if len(done) < len(words):
+            other = [not u for u in usual]
+            done += compress(words, other)
+            runs = self.library.encode_batch_fast(list(compress(texts, other)), add_special_tokens=False)
+            more = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
             sizes = np.concatenate([sizes, more])
             rest = np.fromiter(chain.from_iterable(r.ids for r in runs), dtype=np.uint32, count=int(more.sum()))
             ids = np.concatenate([ids, rest])
-        return [w for w, _ in easy + hard], sizes, ids
+        return done, sizes, ids
 
     def _compile(self, words: list[bytes]) -> None:
         words, sizes, ids = self._tokens(words)
@@ -112,7 +115,8 @@ class Transducer:
         """Numbers of the words' paths until the next call, compiling those that are new."""
         while len(self.number) > self.kept:
             self.number.popitem()
-        new = sorted(set(words).difference(self.number))
+        known = self.number
+        new = list(dict.fromkeys([w for w in words if w not in known]))
         if new:
             short = [w for w in new if len(w) <= LONGEST_PATH]
             self.kept = min(MOST_PATHS, self.kept + len(short))

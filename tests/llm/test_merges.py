@@ -67,3 +67,14 @@ def test_the_pair_table_holds_all_merges_and_nothing_else(machine):
     order = np.argsort(machine.ranks[machine.keys >= 0])
     assert machine.rank(left, right)[order].tolist() == sorted(machine.ranks[machine.keys >= 0].tolist())
     assert (machine.rank(right + 70_000, left) == merges.NONE).all()
+
+
+def test_words_of_both_kinds_keep_their_own_tokens(library):
+    """New words are compiled as they come, repeats once; those for the library go behind, with their own ids."""
+    assert merges.all_plain(["plain", "東京", "Größe"]) == [True, False, True]
+    machine = tokens.Transducer(queries.vocabulary(), True)
+    words = [w.encode() for w in ("zeta", "東京", "alpha", "zeta", "½x", "Größe", "東京")]
+    at = machine.paths(words)
+    assert at[0] == at[3] and at[1] == at[6] and len(machine.number) == 5
+    got = [machine.ids[machine.begins[k] : machine.begins[k] + machine.sizes[k]].tolist() for k in at]
+    assert got == [library.encode(w.decode(), add_special_tokens=False).ids for w in words]
