@@ -14,22 +14,33 @@ the splitting pattern are plain. Other words are for the library.
 from __future__ import annotations
 
 import json
-import re
+from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
-#: Words that may be run here; strings of special tokens start with ``<|``.
-PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ňŊ-ž]+")
+from starweave.llm.common import bytes_of
+
+#: Strings of special tokens start with it.
 SPECIAL = "<|"
-LETTERS = "a-zß-öø-ž"
-#: The vocabulary's splitting pattern on such words, and the space between words.
-PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^ {LETTERS}0-9]+| ")
+#: Kinds of bytes to the vocabulary's splitting pattern, in lower case; letters beyond ASCII have bytes from 128 on.
+LETTER, DIGIT, OTHER = 0, 1, 2
+KIND = np.full(256, OTHER, dtype=np.uint8)
+KIND[ord("a") : ord("z") + 1] = KIND[128:] = LETTER
+KIND[ord("0") : ord("9") + 1] = DIGIT
+LOWER = np.array([b + 32 if chr(b) in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else b for b in range(256)], dtype=np.uint8)
+#: Letters of two bytes that are taken, and their lower case, by code point.
+TAKEN = np.zeros(0x180, dtype=bool)
+TAKEN[0xC0:0x17F] = True
+TAKEN[[0xD7, 0xF7, 0x130, 0x149]] = False
+SMALL = np.array([ord(chr(c).lower()) if TAKEN[c] else c for c in range(0x180)], dtype=np.int64)
 #: The splitting pattern and normalisation this module stands for.
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 NORMAL = ["NFC", "Replace", "Lowercase"]
 #: Slots of the pair table; a power of two.
 SLOTS = 1 << 19
-NONE = np.int64(1 << 62)
+#: Rank of a pair that never merges.
+NONE = np.int64(1 << 30)
 
 
 def byte_letters() -> list[str]:
@@ -64,6 +75,8 @@ class Merges:
         right = np.array([vocab[b] for _, b in pairs], dtype=np.int64)
         self.merged = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
         self._build(left << 20 | right)
+        self.first = self.rank(np.repeat(self.inner, 256), np.tile(self.inner, 256)).reshape(256, 256)
+        self.final = self.rank(np.repeat(self.inner, 256), np.tile(self.last, 256)).reshape(256, 256)
 
     @staticmethod
     def _known(spec: dict) -> bool:
@@ -108,71 +121,143 @@ class Merges:
             open_ = open_[~hit & (held != -1)]
         return out
 
-    def run(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """``(sizes, ids)`` of pieces (not empty), one after the other."""
-        size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    def run(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(sizes, ids)`` of pieces (of ``size`` bytes, not empty, one after the other)."""
+        sizes, ends = np.zeros(len(size), dtype=np.int64), np.cumsum(size)
         symbol = self.inner[data]
-        ends = np.cumsum(size)
         symbol[ends - 1] = self.last[data[ends - 1]]
-        sizes = np.zeros(len(pieces), dtype=np.int64)
-        done: list[tuple[np.ndarray, np.ndarray]] = []  # owners of symbols, symbols
-        owner = np.repeat(np.arange(len(pieces)), size)
-        rank = np.full(len(symbol), NONE, dtype=np.int64)  # of the pair that starts here
-
-        def rerank(at: np.ndarray) -> None:
-            pair = at[at + 1 < len(symbol)]
-            inside = owner[pair] == owner[pair + 1]
+        rank = np.full(len(data), NONE, dtype=np.int64)  # of the pair that starts here
+        rank[:-1] = self.first[data[:-1], data[1:]]
+        rank[ends - 1] = NONE
+        long = ends[size > 1] - 2
+        rank[long] = self.final[data[long], data[long + 1]]
+        live, counts, place = np.arange(len(size)), size.astype(np.int64), np.arange(len(data))
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # pieces, their sizes, symbols
+        while len(live):
+            starts = np.cumsum(counts) - counts
+            best = np.minimum.reduceat(rank << 32 | place[: len(rank)], starts)
+            merging = best >> 32 < NONE
+            keep = np.repeat(merging, counts)
+            if not merging.all():
+                done.append((live[~merging], counts[~merging], symbol[~keep]))
+                live, counts, best, starts = live[merging], counts[merging], best[merging], starts[merging]
+            at = best & 0xFFFFFFFF
+            symbol[at] = self.merged[best >> 32]
+            keep[at + 1] = False
+            symbol, rank = symbol[keep], rank[keep]
+            counts = counts - 1
+            begin = np.cumsum(counts) - counts
+            at = at - starts + begin
             rank[at] = NONE
-            pair = pair[inside]
+            pair = np.concatenate([at[at + 1 < begin + counts], at[at > begin] - 1])
             rank[pair] = self.rank(symbol[pair], symbol[pair + 1])
+        for pieces, held, _ in done:
+            sizes[pieces] = held
+        begins = np.cumsum(sizes) - sizes
+        ids = np.zeros(int(sizes.sum()), dtype=np.uint32)
+        for pieces, held, symbols in done:
+            ids[spread(begins[pieces], held)] = symbols
+        return sizes, ids
 
-        rerank(np.arange(len(symbol)))
-        while len(symbol):
-            starts = np.flatnonzero(np.diff(owner, prepend=-1))
-            place = np.arange(len(symbol))
-            best = np.minimum.reduceat(np.minimum(rank, np.int64(1 << 30)) << 32 | place, starts)
-            merging = best >> 32 < 1 << 30
-            counts = np.diff(np.append(starts, len(symbol)))
-            if not merging.all():
-                rests = np.repeat(~merging, counts)
-                done.append((owner[rests], symbol[rests]))
-                sizes[owner[starts[~merging]]] = counts[~merging]
-            at = (best & 0xFFFFFFFF)[merging]
-            if not len(at):
-                break
-            symbol[at] = self.merged[rank[at]]
-            keep = np.repeat(merging, counts)
-            keep[at + 1] = False
-            moved = np.cumsum(keep) - 1
-            symbol, owner, rank = symbol[keep], owner[keep], rank[keep]
-            at = moved[at]
-            before = at[at > 0] - 1
-            rerank(np.concatenate([at, before[owner[before] == owner[before + 1]]]))
-        owners = np.concatenate([np.zeros(0, np.int64)] + [o for o, _ in done])
-        order = np.argsort(owners, kind="stable")
-        return sizes, np.concatenate([np.zeros(0, np.int64)] + [s for _, s in done])[order].astype(np.uint32)
+    def run_words(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(sizes, ids)`` of plain words, given by their bytes and ends; each distinct piece is run once."""
+        if not len(ends):
+            return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        low = lowered(data)
+        cut = cuts(low, ends)
+        at = np.flatnonzero(cut)
+        buffers = [None, pa.py_buffer(np.append(at, len(low)).astype(np.int32)), pa.py_buffer(low)]
+        coded = pa.Array.from_buffers(pa.binary(), len(at), buffers).dictionary_encode()
+        sizes, ids = self.run(*flat(coded.dictionary))
+        path = np.asarray(coded.indices)
+        each = sizes[path]
+        out = ids[spread((np.cumsum(sizes) - sizes)[path], each)]
+        word = np.searchsorted(ends, at, side="right")
+        return np.bincount(word, weights=each, minlength=len(ends)).astype(np.int64), out
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """``(sizes, ids)`` of plain words; each distinct piece is run once."""
-        found = PIECE.findall(" ".join(words).lower())
-        number: dict[str, int] = {}
-        path = np.fromiter((-1 if p == " " else number.setdefault(p, len(number)) for p in found), dtype=np.int64, count=len(found))
-        sizes, ids = self.run([p.encode() for p in number]) if number else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
-        word = np.cumsum(path == -1)[path >= 0]
-        path = path[path >= 0]
-        each = sizes[path]
-        ends = np.cumsum(each)
-        begins = np.cumsum(sizes) - sizes
-        out = ids[np.repeat(begins[path] - ends + each, each) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        return np.bincount(word, weights=each, minlength=len(words)).astype(np.int64), out
+        """``(sizes, ids)`` of plain words."""
+        data, size = flat(pa.array([w.encode() for w in words], pa.binary()))
+        return self.run_words(data, np.cumsum(size))
+
+
+def spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places ``begins[k], begins[k] + 1, ...``, ``sizes[k]`` of them, for each k."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column, and their number by row."""
+    data, at = bytes_of(column)
+    return data, np.diff(at)
+
+
+def _pairs(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places of first bytes of the letters of two bytes that are taken."""
+    lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC5))
+    inside = np.ones(len(data) + 1, dtype=bool)
+    inside[ends] = False
+    lead = lead[inside[lead + 1] & (data[lead + 1] >> 6 == 2)]
+    return lead[TAKEN[_points(data, lead)]]
+
+
+def _points(data: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    return (data[lead] & 0x1F).astype(np.int64) << 6 | data[lead + 1] & 0x3F
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Plain words in lower case."""
+    low = LOWER[data]
+    lead = np.flatnonzero(data >= 0xC3)
+    points = SMALL[_points(data, lead)]
+    low[lead], low[lead + 1] = 0xC0 | points >> 6, 0x80 | points & 0x3F
+    return low
+
+
+def cuts(low: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether a piece of the splitting pattern starts at each byte of plain words in lower case."""
+    kind = KIND[low]
+    cut = kind == DIGIT
+    cut[1:] |= kind[1:] != kind[:-1]
+    begins = np.append(0, ends[:-1])
+    cut[begins] = True
+    quote = np.flatnonzero(low == ord("'"))
+    if len(quote):
+        word = np.searchsorted(ends, quote, side="right")
+        after = (quote == begins[word]) | (kind[quote - 1] != OTHER)  # else the run before takes it
+        quote, stop = quote[after], ends[word[after]]
+        padded = np.append(low, np.zeros(2, np.uint8))
+        one = np.where(quote + 1 < stop, padded[quote + 1], 0)
+        two = np.where(quote + 2 < stop, padded[quote + 2], 0)
+        short = np.isin(one, list(b"stmd"))
+        long = np.isin(one, list(b"rv")) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+        cut[quote[short | long] + 1] = False
+        rest = np.concatenate([quote[short] + 2, quote[long] + 3])
+        cut[rest[rest < len(low)]] = True
+    return cut
+
+
+def plain_words(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether each word (given by all bytes and their ends) is made of letters the merges are compiled for."""
+    out = np.diff(ends, prepend=0) > 0
+    if not out.any():
+        return out
+    other = (data < 0x21) | (data > 0x7E)
+    lead = _pairs(data, ends)
+    other[lead] = other[lead + 1] = False
+    special = np.flatnonzero((data[:-1] == ord(SPECIAL[0])) & (data[1:] == ord(SPECIAL[1])))
+    other[special] |= np.searchsorted(ends, special, side="right") == np.searchsorted(ends, special + 1, side="right")
+    out[np.searchsorted(ends, np.flatnonzero(other), side="right")] = False
+    return out
 
 
 def all_plain(words: list[str]) -> list[bool]:
     """Whether each word is made of letters the merges are compiled for."""
-    whole = PLAIN.fullmatch
-    return [whole(w) is not None and SPECIAL not in w for w in words]
+    data, size = flat(pa.array([w.encode() for w in words], pa.binary()))
+    return plain_words(data, np.cumsum(size)).tolist()
 
 
+@lru_cache(1 << 16)
 def plain(word: str) -> bool:
     return all_plain([word])[0]

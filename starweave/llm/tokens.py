@@ -22,20 +22,22 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache, cached_property
-from itertools import accumulate, chain, compress
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starweave.llm.common import IS_SPACE, bytes_of, pieces, small_batches, utf8, words_of
-from starweave.llm.merges import Merges, all_plain
+from starweave.llm.common import bytes_of, is_space, pieces, small_batches, utf8, words_of
+from starweave.llm.merges import Merges, flat, plain_words, spread
 
-#: Compiled paths a worker keeps (some 180 bytes each); beyond that, those of a batch last for the batch.
+#: Compiled paths a worker keeps (some 50 bytes each); beyond that, those of a batch last for the batch.
 MOST_PATHS = 100_000
 #: Longer words are compiled for a batch only.
 LONGEST_PATH = 48
+#: Longer words are for the library: the merges run a word in as many rounds as it has merges.
+LONGEST_PLAIN = 1_000
 #: Bytes of text whose words are looked up together.
 BATCH_BYTES = 2_000_000
 #: Characters of a chunk.
@@ -63,11 +65,11 @@ class Transducer:
         self.path = path
         self.with_ids = with_ids
         self.merges = Merges(path)
-        self.number: dict[bytes, int] = {}  # in order of compilation
-        self.kept = 0
-        self.sizes = np.zeros(1024, dtype=np.int64)
-        self.begins = np.zeros(1024, dtype=np.int64)
-        self.ids = np.zeros(4096, dtype=np.uint32)
+        self.number = pa.array([], pa.binary())  # paths, in order of compilation
+        self.kept = 0  # of these, from the first on, after the last batch
+        self.sizes = np.zeros(0, dtype=np.int64)
+        self.begins = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
 
     @cached_property
     def library(self):
@@ -80,71 +82,70 @@ class Transducer:
         library.no_padding()
         return library
 
-    def _tokens(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """The words in another order, their numbers of tokens, and these: by the compiled merges where they do."""
-        texts = [w.decode("utf-8") for w in words]
-        usual = all_plain(texts) if self.merges.usable else [False] * len(words)
-        done, sizes, ids = list(compress(words, usual)), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        if done:
-            sizes, ids = self.merges.words(list(compress(texts, usual)))
-        if len(done) < len(words):
-            other = [not u for u in usual]
-            done += compress(words, other)
-            runs = self.library.encode_batch_fast(list(compress(texts, other)), add_special_tokens=False)
-            more = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
-            sizes = np.concatenate([sizes, more])
-            rest = np.fromiter(chain.from_iterable(r.ids for r in runs), dtype=np.uint32, count=int(more.sum()))
+    def _tokens(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of tokens of the words, where each word's begin, and all tokens: by the compiled merges where they do."""
+        data, size = flat(words)
+        usual = plain_words(data, np.cumsum(size)) & (size <= LONGEST_PLAIN) & self.merges.usable
+        sizes, begins = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        ids = np.zeros(0, np.uint32)
+        if usual.any():
+            held = data if usual.all() else data[np.repeat(usual, size)]
+            sizes[usual], ids = self.merges.run_words(held, np.cumsum(size[usual]))
+        if not usual.all():
+            texts = [w.decode("utf-8") for w in words.filter(pa.array(~usual)).to_pylist()]
+            runs = self.library.encode_batch_fast(texts, add_special_tokens=False)
+            sizes[~usual] = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
+            rest = np.fromiter(chain.from_iterable(r.ids for r in runs), dtype=np.uint32, count=int(sizes[~usual].sum()))
             ids = np.concatenate([ids, rest])
-        return done, sizes, ids
-
-    def _compile(self, words: list[bytes]) -> None:
-        words, sizes, ids = self._tokens(words)
-        at, most = len(self.number), len(self.number) + len(words)
-        if most > len(self.sizes):
-            self.sizes, self.begins = np.resize(self.sizes, 2 * most), np.resize(self.begins, 2 * most)
-        self.sizes[at:most] = sizes
-        used = int(self.begins[at - 1] + self.sizes[at - 1]) if at else 0
-        self.begins[at:most] = used + np.cumsum(sizes) - sizes
+        for part in (usual, ~usual):
+            begins[part] = np.cumsum(sizes[part]) - sizes[part]
+        begins[~usual] += int(sizes[usual].sum())
+        return sizes, begins, ids
+
+    def _forget(self) -> None:
+        """Keep short paths only, at most ``MOST_PATHS``, the oldest."""
+        if len(self.number) == self.kept:
+            return
+        stay = np.concatenate([np.arange(self.kept), self.kept + np.flatnonzero(flat(self.number[self.kept :])[1] <= LONGEST_PATH)])
+        stay = stay[:MOST_PATHS]
+        self.number, sizes = self.number.take(pa.array(stay)), self.sizes[stay]
         if self.with_ids:
-            if used + len(ids) > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * (used + len(ids)))
-            self.ids[used : used + len(ids)] = ids
-        self.number.update(zip(words, range(at, most)))
+            self.ids = self.ids[spread(self.begins[stay], sizes)]
+        self.sizes, self.begins, self.kept = sizes, np.cumsum(sizes) - sizes, len(stay)
 
-    def paths(self, words: list[bytes]) -> np.ndarray:
+    def paths(self, words: list[bytes] | pa.Array) -> np.ndarray:
         """Numbers of the words' paths until the next call, compiling those that are new."""
-        while len(self.number) > self.kept:
-            self.number.popitem()
-        known = self.number
-        new = list(dict.fromkeys([w for w in words if w not in known]))
-        if new:
-            short = [w for w in new if len(w) <= LONGEST_PATH]
-            self.kept = min(MOST_PATHS, self.kept + len(short))
-            self._compile(short)
-            self._compile([w for w in new if len(w) > LONGEST_PATH])
-        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+        self._forget()
+        words = words if isinstance(words, pa.Array) else pa.array(words, pa.binary())
+        coded = pa.concat_arrays([self.number, words]).dictionary_encode()
+        self.number = coded.dictionary
+        new = self.number[self.kept :]
+        if len(new):
+            sizes, begins, ids = self._tokens(new)
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.begins = np.concatenate([self.begins, begins + len(self.ids)])
+            if self.with_ids:
+                self.ids = np.concatenate([self.ids, ids])
+        return np.asarray(coded.indices)[self.kept :]
 
     def words(self, column: pa.Array) -> Words:
         """Paths of all words of a binary column; each distinct word is looked up once."""
         data, offsets = bytes_of(column)
         starts, ends, first = words_of(data, offsets)
         cuts = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
-        buffers = [None, pa.py_buffer(cuts), pa.py_buffer(data[~IS_SPACE[data]])]
-        coded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
-        path = self.paths(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
-        return Words(data, starts, ends, first, path)
+        buffers = [None, pa.py_buffer(cuts), pa.py_buffer(data[~is_space(data)])]
+        return Words(data, starts, ends, first, self.paths(pa.Array.from_buffers(pa.binary(), len(starts), buffers)))
 
     def count(self, word: bytes) -> int:
         """Tokens that a word emits."""
-        return int(self.sizes[self.paths([word])][0])
+        return int(self._tokens(pa.array([word], pa.binary()))[0][0])
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """Token ids of each text of a binary column."""
         words = self.words(column)
         sizes = self.sizes[words.path]
         ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.begins[words.path] - ends + sizes, sizes) + np.arange(total)]
+        ids = self.ids[spread(self.begins[words.path], sizes)]
         so_far = np.concatenate([[0], ends])
         return np.split(ids, so_far[words.first[1:-1]])
 
