@@ -117,7 +117,11 @@ def _digits(text: str) -> str:
 
 
 def octets(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in text.split("."))
+    """Whether all parts between dots are numbers up to 255; candidates may hold signs and spaces inside a part, which is no number."""
+    try:
+        return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in text.split("."))
+    except ValueError:
+        return False
 
 
 def _valid(kind: int, text: str) -> bool:

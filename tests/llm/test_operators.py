@@ -241,6 +241,17 @@ def test_personal_data(spark):
     assert pii.personal_data(docs.limit(0), model).count() == 0
 
 
+def test_dotted_candidates_that_are_no_numbers(spark):
+    # a candidate of the IP type may run over a space, sign or bracket: parts that are no number are no octets
+    held = ["+1 (844) 555-9 4.150.33.211 on", "see 12.5 6.10.3456789 x", "of 1.2-3.4.5678901", "at 1.2(3.4.5678901 too", "a\x00.1.2.3@ 1.2.3(.4"]
+    assert not any(pii.octets(t) for t in ("1.2 3.4.5", "1.2-3.4.5", "1.(.2.3", "1.2.3.256"))
+    assert pii.octets("1.02.0.255")
+    docs = table(spark, [(i, t, "s") for i, t in enumerate([*PRIVATE, *held])])
+    got = {r.doc_id: r for r in pii.personal_data(docs, pii.train(docs)).collect()}
+    assert len(got) == len(PRIVATE) + len(held)
+    assert got[len(PRIVATE)].n_ip == 1 and "ip:15:27" in got[len(PRIVATE)].spans
+
+
 def test_the_model_decides_what_the_patterns_miss(spark):
     found = [
         ("please call (646) 555-0173 today", "phone", "(646) 555-0173"), ("reach me at 917-555-0186 or so", "phone", "917-555-0186"),
