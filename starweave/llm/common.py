@@ -35,16 +35,17 @@ def scratch_tables() -> Iterator[list[str]]:
         _watching[:] = [w for w in _watching if w is not used]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, per_file: int = 0) -> DataFrame:
     """Write ``df`` to a fresh table in the shared checkpoint folder and read it back.
 
     The result no longer depends on executors that computed it, and later
-    steps read it instead of computing it again.
+    steps read it instead of computing it again. ``per_file`` bounds the rows
+    of a file (0: no bound).
     """
     path = scratch_path(df.sparkSession, name)
     for used in _watching:
         used.append(path)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

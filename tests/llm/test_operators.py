@@ -17,6 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starweave.llm import embeddings, exact, mixing, packing, pii, queries, simhash, substrings, tokens, toxicity, warc
+from starweave.llm.common import scratch_tables
 from starweave.llm.components import connected_components
 from starweave.session import scratch_path
 from tests.llm.fixtures import SCHEMA, documents, table
@@ -327,6 +328,60 @@ def test_no_link_is_lost(spark, kind):
     assert [got[i] for i in range(len(x))] == link_counts(x)
 
 
+def spread(n: int, near: int) -> list[list[float]]:
+    """Vectors that no cells keep apart, and some close to others."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(n, 64))
+    return [v.tolist() for v in np.concatenate([x, x[:near] + 0.3 * rng.normal(size=(near, 64))])]
+
+
+def test_spread_vectors_take_disk_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "discard", lambda *_: None, raising=False)
+    x = spread(4_000, 200)
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>").repartition(3)
+    with scratch_tables() as used:
+        got = {r.vec_id: r.n_links for r in embeddings.embedding_dedup(df, 0.9, per_cell=64).collect()}
+    v = embeddings.unit(np.array(x))
+    assert [got[i] for i in range(len(x))] == ((v @ v.T >= 0.9).sum(axis=1) - 1).tolist()
+    files = [f for path in used for f in Path(path.removeprefix("file:")).rglob("*.parquet")]
+    assert sum(f.stat().st_size for f in files) < 4 * len(x) * 64 * 8
+
+
+@pytest.mark.parametrize("most", [1 << 30, 40_000])
+def test_slices_and_shared_hashes(spark, monkeypatch, most):
+    # slices cut cells; pairs lie within a slice, or in two; hashes of vectors that are not equal may be
+    monkeypatch.setattr(embeddings, "SLICE", most, raising=False)
+    monkeypatch.setattr(embeddings, "_key", lambda c: F.pmod(F.xxhash64(c), F.lit(7)), raising=False)
+    rng = np.random.default_rng(4)
+    x = spread(300, 100) + [[0.0, -0.0, 1.0], [-0.0, 0.0, 2.0], [0.0, 0.0, 1.0], [1.0, 0.0, 0.0]]
+    # one cell that is larger than a slice, and all of it linked
+    x += (np.ones(64) + 0.01 * rng.normal(size=(150, 64))).tolist()
+    rows = list(enumerate(x)) + [(None, x[0]), (9_000, None), (9_001, [0.0] * 64)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = embeddings.embedding_dedup(df, 0.9, per_cell=32).collect()
+    assert len(got) == len(rows)
+    by = {r.vec_id: r for r in got}
+    assert [by[i].n_links for i in [*range(len(x)), None]] == link_counts([*x, x[0]])
+    assert all(by[i].component_id == i - 300 and not by[i].kept for i in range(300, 400))
+    assert [by[400 + i].component_id for i in range(4)] == [400, 400, 400, 403]
+    assert {by[i].component_id for i in range(404, 554)} == {404}
+    assert all((by[i].n_links, by[i].component_id, by[i].kept) == (0, i, True) for i in (9_000, 9_001))
+
+
+def test_slices_follow_each_other():
+    sizes = [(0, 10), (4, 35), (2, 5), (7, 1)]
+    assert embeddings.starts(sizes, 1_000) == [(0, -(2**63))]
+    assert embeddings.starts(sizes, 20) == [(0, -(2**63)), (4, -(2**63) + 5 * 2**64 // 35), (4, -(2**63) + 25 * 2**64 // 35)]
+
+
+def test_products_over_few_directions_are_no_less():
+    x = embeddings.unit(np.random.default_rng(6).normal(size=(400, 64)) @ np.diag(np.linspace(1, 0.05, 64)))
+    along = embeddings.directions(x, 0.9)
+    assert along.shape[1] < 64
+    short = embeddings._shortened(x, along)
+    assert (short @ short.T >= x @ x.T - (short.shape[1] + 8) * 2.0**-23).all()
+
+
 # op 5
 
 
